@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from fernglass.llm import exact_dedup
+import public_tokenizers
+
+from fernglass.llm import exact_dedup, mixing, packing
 
 
 def _table(spark, sf_dir: str, name: str):
@@ -13,5 +15,14 @@ def op5_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op5_exact_dedup": op5_exact_dedup}
-SQL = {"op5_exact_dedup": exact_dedup.SQL}
+def op3_mixing(spark, sf_dir):
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_packing(spark, sf_dir):
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {"op3_mixing": op3_mixing, "op5_exact_dedup": op5_exact_dedup, "op9_packing": op9_packing}
+SQL = {"op3_mixing": mixing.SQL, "op5_exact_dedup": exact_dedup.SQL}
