@@ -30,13 +30,7 @@ def _normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = [hashlib.sha256(t).digest() for t in norm]
         chars = pc.fill_null(pc.utf8_length(batch.column("text")), 0).cast(pa.int64())
         heads = [t[:HEAD] for t in norm]
-        step = max(1, OUT_ROWS // 8)
-        for i in range(0, len(norm), step):
-            j = i + step
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id")[i:j].cast(pa.int64()), chars[i:j], pa.array(heads[i:j], pa.binary()), pa.array(digest[i:j], pa.binary()), pa.array(norm[i:j], pa.binary())],
-                names=["doc_id", "chars", "head", "digest", "norm"],
-            )
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), chars, *(pa.array(x, pa.binary()) for x in (heads, digest, norm))], names=["doc_id", "chars", "head", "digest", "norm"])
 
 
 NORMALISED = "doc_id long, chars long, head binary, digest binary, norm binary"

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 LOCAL_CHECKPOINTS = "/tmp/checkpoints/fernglass"
 
 #: Rows of one Arrow batch that an operator emits.
-OUT_ROWS = 8192
+OUT_ROWS = 1000
 
 WHITE = b" \t\n\x0b\x0c\r"
 
@@ -26,13 +26,27 @@ WHITE = b" \t\n\x0b\x0c\r"
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """Exactly the named columns (in the case given), whatever else the table holds, doubles and case twins included."""
     columns = df.columns
-    flat = df.toDF(*[f"_{i}" for i in range(len(columns))])
+    flat = small_batches(df).toDF(*[f"_{i}" for i in range(len(columns))])
     missing = [n for n in names if n not in columns]
     if missing:
         raise ValueError(f"no column {missing} in {columns}")
     return flat.select(*[F.col(f"_{columns.index(n)}").alias(n) for n in names])
 
 
+#: Limits of one Arrow batch sent to Python, set where the session has Spark's own defaults: whole texts are long.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": (None, str(4 << 20))}
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, in a session whose Arrow batches are small enough for long texts; limits that a user has set stay."""
+    conf = df.sparkSession.conf
+    for key, (default, value) in BATCH.items():
+        now = conf.get(key, None)
+        if now is None or now == default or default is None and int(now) >= 64 << 20:
+            conf.set(key, value)
+    return df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that every executor sees: spark.checkpoint.dir, set here only where it is unset."""
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
