@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from fernglass.llm import exact_dedup, mixing, packing
+from fernglass.llm import exact_dedup, minhash, mixing, packing, toxicity
 
 
 def _table(spark, sf_dir: str, name: str):
@@ -24,5 +24,15 @@ def op9_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op3_mixing": op3_mixing, "op5_exact_dedup": op5_exact_dedup, "op9_packing": op9_packing}
-SQL = {"op3_mixing": mixing.SQL, "op5_exact_dedup": exact_dedup.SQL}
+def op10_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+def op2_minhash(spark, sf_dir):
+    return minhash.near_dedup(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op2_minhash": op2_minhash, "op10_toxicity": op10_toxicity, "op3_mixing": op3_mixing, "op5_exact_dedup": op5_exact_dedup, "op9_packing": op9_packing}
+SQL = {"op2_minhash": minhash.SQL, "op3_mixing": mixing.SQL, "op5_exact_dedup": exact_dedup.SQL}
