@@ -33,11 +33,20 @@ CHUNK_BYTES = 2_000_000
 Run = tuple[int, int, int, int, int]
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies spell printable bytes as themselves and the others, in order, from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(0x100 + k) for k, b in enumerate(others)}
+
+
 class Encoder:
-    """Ids of whole texts by a tokenizer whose pre-tokenizer never joins what white space parts.
+    """Ids of whole texts by a tokenizer that lower-cases and whose pre-tokenizer never joins what white space parts.
 
-    There a text's ids are those of its words in order, so that common words are looked up. The tests hold this
-    against encoding texts whole.
+    There a text's ids are those of its words in order, so that common words are looked up. Of the others, letters
+    of the Latin blocks, with a full stop or comma after them or not, go straight to the merges, as they are composed
+    and one piece before them; the rest goes through the whole tokenizer. The tests hold all of this against encoding
+    texts whole.
     """
 
     _made: dict[str, Encoder] = {}
@@ -48,6 +57,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[bytes, bytes] = {}
+        self.letters = _byte_letters()
+        self.marks = {b"": b""} | dict(zip((b".", b","), self.slow([b".", b","])))
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -55,20 +66,38 @@ class Encoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
+    def slow(self, words: list[bytes]) -> list[bytes]:
+        batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        return [array("I", e.ids).tobytes() for e in batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+
+    def learn(self, new: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of new words."""
+        made: dict[bytes, bytes] = {}
+        rest = []
+        tokenize, letters, marks = self.tokenizer.model.tokenize, self.letters, self.marks
+        for word in new:
+            mark = word[-1:] if word[-1:] in (b".", b",") else b""
+            core = word[: len(word) - len(mark)].decode("utf-8", "replace")
+            if core.isalpha() and max(core) < "\u0250" and "\u0130" not in core:
+                pieces = tokenize(core.lower().encode().decode("latin-1").translate(letters))
+                made[word] = array("I", [t.id for t in pieces]).tobytes() + marks[mark]
+            else:
+                rest.append(word)
+        made.update(zip(rest, self.slow(rest)))
+        return made
+
     def encode(self, chunk: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         split = [t.split() for t in chunk]
         known = self.words
         new = list(set(chain.from_iterable(split)).difference(known))
-        if new:
-            batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-            made = dict(zip(new, (array("I", e.ids).tobytes() for e in batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False))))
-            if len(known) + len(made) <= KEPT_WORDS:
-                known.update(made)
-            else:
-                return [b"".join([known.get(w) or made.get(w, b"") for w in words]) for words in split]
-        get = known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        made = self.learn(new) if new else {}
+        if len(known) + len(made) <= KEPT_WORDS:
+            known.update(made)
+            made = {}
+        if not made:
+            return [b"".join(map(known.__getitem__, words)) for words in split]
+        return [b"".join([made[w] if w in made else known[w] for w in words]) for words in split]
 
 
 def _chunks(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
