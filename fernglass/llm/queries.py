@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from fernglass.llm import exact_dedup, minhash, mixing, packing, toxicity
+from fernglass.llm import embed_dedup, exact_dedup, hmm_lm, langid, minhash, mixing, packing, toxicity
 
 
 def _table(spark, sf_dir: str, name: str):
@@ -34,5 +34,27 @@ def op2_minhash(spark, sf_dir):
     return minhash.near_dedup(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_minhash": op2_minhash, "op10_toxicity": op10_toxicity, "op3_mixing": op3_mixing, "op5_exact_dedup": op5_exact_dedup, "op9_packing": op9_packing}
-SQL = {"op2_minhash": minhash.SQL, "op3_mixing": mixing.SQL, "op5_exact_dedup": exact_dedup.SQL}
+def op1_langid(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs)).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op7_hmm(spark, sf_dir):
+    return hmm_lm.train_and_score(_table(spark, sf_dir, "documents"))
+
+
+def op4_embed_dedup(spark, sf_dir):
+    return embed_dedup.near_dedup(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    "op1_langid": op1_langid,
+    "op2_minhash": op2_minhash,
+    "op3_mixing": op3_mixing,
+    "op4_embed_dedup": op4_embed_dedup,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op7_hmm": op7_hmm,
+    "op9_packing": op9_packing,
+    "op10_toxicity": op10_toxicity,
+}
+SQL = {"op2_minhash": minhash.SQL, "op3_mixing": mixing.SQL, "op4_embed_dedup": embed_dedup.SQL, "op5_exact_dedup": exact_dedup.SQL}

@@ -115,3 +115,20 @@ def count_words(column: pa.Array) -> np.ndarray:
     if column.null_count:
         counts[column.is_null().to_numpy(zero_copy_only=False)] = 0
     return counts
+
+
+def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Slope (not below 0) and base by Newton's method with a weak pull to 0."""
+    centre, spread = float(x.mean()), float(x.std()) or 1.0
+    z = np.column_stack([(x - centre) / spread, np.ones(len(x))])
+    w = np.array([1.0, 0.0])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -500, 500)))
+        g = z.T @ (p - y) + 0.5 * np.array([w[0], 0.0])
+        h = (z * (p * (1 - p))[:, None]).T @ z + np.diag([0.5, 1e-6])
+        step = np.linalg.solve(h, g)
+        w = w - np.clip(step, -4, 4)
+        if np.abs(step).max() < 1e-9:
+            break
+    slope = max(0.0, w[0]) / spread
+    return float(slope), float(w[1] - slope * centre)

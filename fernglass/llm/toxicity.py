@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fernglass.llm.shared import fold, pick, texts
+from fernglass.llm.shared import fold, logistic, pick, texts
 
 #: Labelled rows of each class that are learned from, about: all of them, or as many of the least hashes of the id.
 SAMPLE_DOCS = 20_000
@@ -40,7 +40,7 @@ DRIFT = 0.7
 #: Texts of fewer words count as this long in the extreme-value law.
 SHORTEST = 50
 #: A segment is significant if a clean text has one as good with at most this chance.
-CHANCE = 0.2
+CHANCE = 0.1
 THRESHOLD = 0.3
 _TRIM = re.compile(r"^\W+|\W+$")
 _KEPT = 400_000
@@ -168,23 +168,6 @@ def _log_odds(rows: list[tuple[str, int, int]], total1: int, total0: int) -> tup
     return words, prefixes
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope (not below 0) and base by Newton's method with a weak pull to 0."""
-    centre, spread = float(x.mean()), float(x.std()) or 1.0
-    z = np.column_stack([(x - centre) / spread, np.ones(len(x))])
-    w = np.array([1.0, 0.0])
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -500, 500)))
-        g = z.T @ (p - y) + 0.5 * np.array([w[0], 0.0])
-        h = (z * (p * (1 - p))[:, None]).T @ z + np.diag([0.5, 1e-6])
-        step = np.linalg.solve(h, g)
-        w = w - np.clip(step, -4, 4)
-        if np.abs(step).max() < 1e-9:
-            break
-    slope = max(0.0, w[0]) / spread
-    return float(slope), float(w[1] - slope * centre)
-
-
 def _best(texts_: Iterator[bytes], model: Model) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
     """Words and segments of each text."""
     scores = Scores(model)
@@ -247,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, lexi
     clean = [(max(r["n"], SHORTEST), max(r["scores"], default=0.0)) for r in found if not r["toxic"]]
     model.k = len(clean) / sum(n * math.exp(-model.lam * s) for n, s in clean)
     x = np.array([model.evidence([(0, 0, s) for s in r["scores"]], r["n"]) for r in found])
-    model.slope, model.base = _logistic(x, y)
+    model.slope, model.base = logistic(x, y)
     return model
 
 
