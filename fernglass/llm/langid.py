@@ -5,7 +5,7 @@ P(c | h) = max(n(hc) - D, 0) / n(h) + D t(h) / n(h) P(c | h without its first ch
 instead of n below the highest order, and a uniform floor. All languages share one sorted array of 64-bit hashes for
 each order: a row holds the finished log probability of its n-gram in every language, or a context's back-off weight.
 The language with the lowest cross-entropy for each character wins; a logistic curve on its lead, and on the length,
-makes the score, and texts that even the winner explains worse than nearly all calibration texts can be rejected.
+makes the score (fitted on whole calibration texts and on a few letters of each), and texts that even the winner explains worse than nearly all calibration texts can be rejected.
 """
 
 from __future__ import annotations
@@ -261,9 +261,13 @@ def identify_texts(model: Model, found: list[bytes]) -> list[tuple[str, float, f
 def _leads(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = identify_texts(shared.value, list(texts(batch.column("text"))))
-            right = [lang == x[0] for lang, x in zip(batch.column("lang").to_pylist(), found)]
-            yield pa.RecordBatch.from_arrays([pa.array(right, pa.bool_()), *(pa.array([x[k] for x in found], pa.float64()) for k in (2, 3, 4))], names=["right", "entropy", "lead", "n"])
+            own = list(texts(batch.column("text")))
+            langs = batch.column("lang").to_pylist()
+            short = [" ".join(t.decode("utf-8", "replace").split()[-1:])[: 2 + i % 7].encode() for i, t in enumerate(own)]
+            found = identify_texts(shared.value, own + short)
+            right = [lang == x[0] for lang, x in zip(langs + langs, found)]
+            whole = [True] * len(own) + [False] * len(short)
+            yield pa.RecordBatch.from_arrays([pa.array(right, pa.bool_()), pa.array(whole, pa.bool_()), *(pa.array([x[k] for x in found], pa.float64()) for k in (2, 3, 4))], names=["right", "whole", "entropy", "lead", "n"])
 
     return run
 
@@ -292,11 +296,11 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, grams: int = GRAMS) ->
         return Model(sorted(sizes))
     model = kneser_ney(found)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = _sample(docs, (3,), sizes, sample_docs).mapInArrow(_leads(shared), "right boolean, entropy double, lead double, n double").where("n > 0").collect()
+    rows = _sample(docs, (3,), sizes, sample_docs).mapInArrow(_leads(shared), "right boolean, whole boolean, entropy double, lead double, n double").where("n > 0").collect()
     if rows:
         x = np.array([r["lead"] * math.sqrt(r["n"]) for r in rows])
         model.slope, model.base = logistic(x, np.array([r["right"] for r in rows], float))
-        right = np.sort([r["entropy"] for r in rows if r["right"]])
+        right = np.sort([r["entropy"] for r in rows if r["right"] and r["whole"]])
         model.limit = float(right[min(len(right) - 1, int((1 - REJECT) * len(right)))]) if len(right) else math.inf
     return model
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from fernglass.llm import embed_dedup, exact_dedup, hmm_lm, langid, minhash, mixing, packing, toxicity
+from fernglass.llm import embed_dedup, exact_dedup, hmm_lm, html_main, langid, minhash, mixing, packing, toxicity
 
 
 def _table(spark, sf_dir: str, name: str):
@@ -47,12 +47,17 @@ def op4_embed_dedup(spark, sf_dir):
     return embed_dedup.near_dedup(_table(spark, sf_dir, "embeddings"))
 
 
+def op6_html_main(spark, sf_dir):
+    return html_main.main_text(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
     "op1_langid": op1_langid,
     "op2_minhash": op2_minhash,
     "op3_mixing": op3_mixing,
     "op4_embed_dedup": op4_embed_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_html_main": op6_html_main,
     "op7_hmm": op7_hmm,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
