@@ -28,7 +28,7 @@ from fernglass.llm.shared import fold, logistic, pick, texts
 #: Labelled rows of each class that are learned from, about: all of them, or as many of the least hashes of the id.
 SAMPLE_DOCS = 20_000
 #: Entries of the lexicon (words and prefixes): those with the most toxic, then most other, occurrences.
-LEXICON = 300_000
+LEXICON = 200_000
 PREFIXES = range(2, 10)
 PRIOR = 2.0
 #: Bound of a prior's share: the same occurrences stand behind a word and its prefixes, and must not multiply.
@@ -43,7 +43,8 @@ SHORTEST = 50
 CHANCE = 0.1
 THRESHOLD = 0.3
 _TRIM = re.compile(r"^\W+|\W+$")
-_KEPT = 400_000
+_KEPT = 200_000
+_FLUSH = 30_000
 
 
 @dataclass
@@ -136,7 +137,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for label, text in zip(batch.column("toxic").to_pylist(), texts(batch.column("text"))):
             counts[label].update(set(text.lower().split()))
-        if len(counts[0]) + len(counts[1]) > 100_000:
+        if len(counts[0]) + len(counts[1]) > _FLUSH:
             yield from out()
     yield from out()
 
@@ -273,7 +274,7 @@ def reject(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [shared.value.probability(max((s for _, _, s in found), default=0.0), n) < THRESHOLD for n, found in _best(texts(batch.column(at)), shared.value)]
+            keep = [shared.value.probability(shared.value.evidence(found, n)) < THRESHOLD for n, found in _best(texts(batch.column(at)), shared.value)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, schema)
