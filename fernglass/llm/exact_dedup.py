@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fernglass.llm.shared import OUT_ROWS, WHITE, pick, stash, texts
+from fernglass.llm.shared import OUT_ROWS, WHITE, keep_rows, pick, stash, text_key, texts
 
 #: Bytes of the normalised text that lead the sort key; equality never rests on them.
 HEAD = 32
@@ -30,11 +30,11 @@ def _normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = [hashlib.sha256(t).digest() for t in norm]
         chars = pc.fill_null(pc.utf8_length(batch.column("text")), 0).cast(pa.int64())
         heads = [t[:HEAD] for t in norm]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), chars, *(pa.array(x, pa.binary()) for x in (heads, digest, norm))], names=["doc_id", "chars", "head", "digest", "norm"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), chars, *(pa.array(x, pa.binary()) for x in (heads, digest, norm))], names=["doc_id", "text_key", "chars", "head", "digest", "norm"])
 
 
-NORMALISED = "doc_id long, chars long, head binary, digest binary, norm binary"
-RUNS = "doc_id long, digest binary, keep_id long, keep_chars long, size long, kept boolean, part int, edge int, edge_norm binary"
+NORMALISED = "doc_id long, text_key long, chars long, head binary, digest binary, norm binary"
+RUNS = "doc_id long, text_key long, digest binary, keep_id long, keep_chars long, size long, kept boolean, part int, edge int, edge_norm binary"
 
 
 class _Runs:
@@ -49,16 +49,16 @@ class _Runs:
             return
         self.seen += 1
         edge = 1 if self.seen == 1 else 2 if last else None
-        for i, doc_id in enumerate(self.ids):
-            self.rows.append((doc_id, self.digest, self.ids[0], self.chars, len(self.ids), i == 0, self.part, edge, self.norm if edge and i == 0 else None))
+        for i, (doc_id, key) in enumerate(self.ids):
+            self.rows.append((doc_id, key, self.digest, self.ids[0][0], self.chars, len(self.ids), i == 0, self.part, edge, self.norm if edge and i == 0 else None))
 
-    def start(self, doc_id, chars: int, digest: bytes, norm: bytes) -> None:
-        self.ids, self.chars, self.digest, self.norm = [doc_id], chars, digest, norm
+    def start(self, row: tuple, chars: int, digest: bytes, norm: bytes) -> None:
+        self.ids, self.chars, self.digest, self.norm = [row], chars, digest, norm
 
     def out(self, at_least: int) -> Iterator[pa.RecordBatch]:
         while len(self.rows) >= max(1, at_least):
             part, self.rows = self.rows[:OUT_ROWS], self.rows[OUT_ROWS:]
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.binary()]
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part), kinds)], names=[x.split()[0] for x in RUNS.split(", ")])
 
 
@@ -66,27 +66,27 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     runs = _Runs(TaskContext.get().partitionId())
     for batch in batches:
         norms = batch.column("norm")
-        rows = zip(batch.column("doc_id").to_pylist(), batch.column("chars").to_pylist(), batch.column("digest").to_pylist())
-        for i, (doc_id, chars, digest) in enumerate(rows):
+        rows = zip(zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist()), batch.column("chars").to_pylist(), batch.column("digest").to_pylist())
+        for i, (row, chars, digest) in enumerate(rows):
             norm = None
             if digest == runs.digest and (norm := norms[i].as_py()) == runs.norm:
-                runs.ids.append(doc_id)
+                runs.ids.append(row)
                 continue
             runs.end(last=False)
-            runs.start(doc_id, chars, digest, norms[i].as_py() if norm is None else norm)
+            runs.start(row, chars, digest, norms[i].as_py() if norm is None else norm)
         yield from runs.out(OUT_ROWS)
     runs.end(last=True)
     yield from runs.out(1)
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256, n_chars_kept.
+def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, text_key, keep_id, group_size, kept, text_sha256.
 
     Null text counts as empty; all empty or blank texts are one group. Of equal texts the row with the most code
     points in the original stays, then the smallest id, a null id last; of rows that repeat even those, one stays
     (kept is true once for each group). An empty table gives an empty result. Other columns are ignored.
     """
-    rows = pick(docs, id_col, text_col).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    rows = pick(docs, id_col, text_col).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("text_key", text_key())
     order = [F.col("head"), F.col("digest"), F.col("norm"), F.desc("chars"), F.asc_nulls_last("doc_id")]
     deal = [F.col("head"), F.col("digest"), F.desc("chars"), F.asc_nulls_last("doc_id")]
     dealt = rows.mapInArrow(_normalised, NORMALISED).repartitionByRange(*deal).sortWithinPartitions(*order)
@@ -97,9 +97,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     whole = edges.groupBy("edge_norm").agg(F.sum("size").alias("whole_size"), best)
     merged = edges.join(whole, "edge_norm").select("part", "edge", "whole_size", F.col("best.keep_id").alias("whole_keep"), F.col("best.part").alias("keep_part"))
 
-    plain = runs.where("edge is null").select("doc_id", "keep_id", F.col("size").alias("group_size"), "kept", "digest")
-    touching = runs.where("edge is not null").join(merged, ["part", "edge"]).select("doc_id", F.col("whole_keep").alias("keep_id"), F.col("whole_size").alias("group_size"), (F.col("kept") & (F.col("part") == F.col("keep_part"))).alias("kept"), "digest")
-    return plain.unionByName(touching).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+    plain = runs.where("edge is null").select("doc_id", "text_key", "keep_id", F.col("size").alias("group_size"), "kept", "digest")
+    touching = runs.where("edge is not null").join(merged, ["part", "edge"]).select("doc_id", "text_key", F.col("whole_keep").alias("keep_id"), F.col("whole_size").alias("group_size"), (F.col("kept") & (F.col("part") == F.col("keep_part"))).alias("kept"), "digest")
+    return plain.unionByName(touching).select("doc_id", "text_key", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """copies() without the key: doc_id, keep_id, group_size, kept, text_sha256."""
+    return copies(docs, id_col, text_col).drop("text_key")
+
+
+def drop_copies(docs: DataFrame) -> DataFrame:
+    """docs without the rows that copies() does not keep, all columns as they were."""
+    return keep_rows(docs, copies(docs).where("kept").select("doc_id", "text_key"))
 
 
 SQL = r"""

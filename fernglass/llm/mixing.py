@@ -11,13 +11,14 @@ over the buckets' sums), so that a source with a third of all rows is dealt over
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fernglass.llm.shared import count_words, pick, stash
+from fernglass.llm.shared import count_words, keep_rows, pick, stash, text_key, texts
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -31,13 +32,13 @@ SLOPES = (-0.5, 0.5, 0.0)
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), pa.array(count_words(batch.column("text")), pa.int64())], names=["doc_id", "source", "size"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), batch.column("source"), pa.array(count_words(batch.column("text")), pa.int64())], names=["doc_id", "text_key", "source", "size"])
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size: the words of each text, 0 where it is null."""
-    rows = pick(docs, "doc_id", "source", "text").select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"))
-    return rows.mapInArrow(_sizes, "doc_id long, source string, size long")
+    """doc_id, text_key, source, size: the words of each text, 0 where it is null."""
+    rows = pick(docs, "doc_id", "source", "text").select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string")).withColumn("text_key", text_key())
+    return rows.mapInArrow(_sizes, "doc_id long, text_key long, source string, size long")
 
 
 def _cycle(rank: Column, values: tuple[float, ...]) -> Column:
@@ -70,19 +71,20 @@ def _when(share: Column, slope: Column) -> Column:
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, repeats: int = REPEATS, slopes=SLOPES) -> DataFrame:
-    """One row per document, range-sorted by position: doc_id, source, size, source_size, target, taken, positions.
+    """One row per document, range-sorted by position: doc_id, text_key, source, size, source_size, target, taken,
+    positions, words.
 
     taken: words that the mix takes of it, repeats counted, at most repeats x size; over a source they add up to its
     rounded target. All of a source's documents are taken as often as its target holds its words; what remains goes to
     its documents in the order of md5(id), the last of them in part. positions: where in [0, 1] each use of the
-    document begins, empty if nothing is taken. A null source is a source of its own, after the others; null texts and
+    document begins, empty if nothing is taken; words: how many each use takes, from the first on. A null source is a source of its own, after the others; null texts and
     texts without words have size 0 and are never taken. Rows that repeat count each for itself. Other columns of docs
     are ignored. Empty table: no rows. Reruns give the same rows.
     """
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     sized = stash(sizes(docs).withColumn("h", key), "sizes")
     per = stash(targets(sized, weights, total, repeats, slopes), "targets")
-    rows = sized.join(per, sized["source"].eqNullSafe(per["source"])).select(sized["doc_id"], sized["source"], "size", "h", "source_size", "target", "slope")
+    rows = sized.join(per, sized["source"].eqNullSafe(per["source"])).select(sized["doc_id"], "text_key", sized["source"], "size", "h", "source_size", "target", "slope")
     bucket = F.substring("h", 1, 3)
     rows = rows.withColumn("bucket", bucket)
     within = Window.partitionBy("source", "bucket").orderBy("h", F.asc_nulls_last("doc_id"), "size").rowsBetween(Window.unboundedPreceding, -1)
@@ -97,13 +99,56 @@ def mix(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, repeats: int = R
     left = whole - full * F.col("source_size")
     start = F.col("inside") + F.col("outside")
     part = F.greatest(F.lit(0), F.least(F.col("size"), left - start))
-    rows = rows.withColumns({"start": start, "uses": F.when(F.col("size") > 0, full + (part > 0).cast("int")).otherwise(0).cast("int"), "taken": full * F.col("size") + part, "whole": whole})
+    rows = rows.withColumns({"start": start, "uses": F.when(F.col("size") > 0, full + (part > 0).cast("int")).otherwise(0).cast("int"), "taken": full * F.col("size") + part, "whole": whole, "full": full, "part": part})
     at = F.transform(F.when(F.col("uses") > 0, F.sequence(F.lit(0), F.col("uses") - 1)).otherwise(F.array().cast("array<int>")), lambda k: _when((k * F.col("source_size") + F.col("start")) / F.col("whole"), F.col("slope")))
-    rows = rows.select("doc_id", "source", "size", "source_size", "target", "taken", at.alias("positions"))
+    words = F.transform(at, lambda _, k: F.when(k < F.col("full"), F.col("size")).otherwise(F.col("part")))
+    rows = rows.select("doc_id", "text_key", "source", "size", "source_size", "target", "taken", at.alias("positions"), words.alias("words"))
     first = F.element_at(F.concat("positions", F.array(F.lit(2.0))), 1)
     return rows.repartitionByRange(first, F.xxhash64("doc_id")).sortWithinPartitions(first, F.asc_nulls_last("doc_id"))
 
 
+_HEAD = re.compile(rb"[ \t-\r]*[^ \t-\r]+")
+
+
+def _first_words(text: bytes, words: int) -> bytes:
+    """A text up to the end of its words-th word."""
+    at = 0
+    for _ in range(words):
+        at = _HEAD.match(text, at).end()
+    return text[:at]
+
+
+def mixed(docs: DataFrame, **how) -> DataFrame:
+    """The mix as documents: each use of a row of docs is a row, in the order of its position, all columns as they were.
+
+    What mix() takes of a text in part is its first words, and n_chars, if there is such a column, is then its length.
+    docs must not repeat rows in doc_id and text, as after exact dedup: their uses would multiply.
+    """
+    names = docs.columns
+    use = F.explode(F.arrays_zip(F.col("positions").alias("position"), F.col("words").alias("words")))
+    uses = mix(docs, **how).where("taken > 0").select("doc_id", "text_key", "size", use.alias("_use"))
+    uses = uses.select("doc_id", "text_key", F.col("_use.position").alias("_position"), (F.col("_use.words") < F.col("size")).alias("_cut"), F.col("_use.words").alias("_words"))
+    found = keep_rows(docs, uses)
+    schema = found.schema
+    text, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = batch.column(len(names) + 1).to_pylist()
+            if any(marks):
+                words = batch.column(len(names) + 2).to_pylist()
+                own = [_first_words(t, n) if m else t for t, m, n in zip(texts(batch.column(text)), marks, words)]
+                columns = batch.columns
+                columns[text] = pa.array([t.decode("utf-8", "replace") for t in own], batch.schema.field(text).type)
+                if chars is not None:
+                    columns[chars] = pa.array([len(t.decode("utf-8", "replace")) if m else n for t, m, n in zip(own, marks, columns[chars].to_pylist())], batch.schema.field(chars).type)
+                batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            yield batch
+
+    dealt = found.mapInArrow(cut, schema).repartitionByRange("_position").sortWithinPartitions("_position")
+    return dealt.select(*[dealt[c] for c in names])
+
+
 SQL = r"""
 with sized as (
   select doc_id, source, cast(case when text is null then 0 else len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) end as bigint) as size,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from fernglass.llm import embed_dedup, exact_dedup, hmm_lm, html_main, langid, minhash, mixing, packing, toxicity
+from fernglass.llm import embed_dedup, exact_dedup, hmm_lm, html_main, langid, minhash, mixing, packing, token_counts, toxicity
 
 
 def _table(spark, sf_dir: str, name: str):
@@ -51,6 +51,10 @@ def op6_html_main(spark, sf_dir):
     return html_main.main_text(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op8_token_counts(spark, sf_dir):
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_langid": op1_langid,
     "op2_minhash": op2_minhash,
@@ -59,6 +63,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_html_main": op6_html_main,
     "op7_hmm": op7_hmm,
+    "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }

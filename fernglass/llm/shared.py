@@ -80,6 +80,30 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary")) % parts
 
 
+def text_key() -> Column:
+    """64 bits that tell rows with the same doc_id apart by their text."""
+    return F.xxhash64("doc_id", "text")
+
+
+def keep_rows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of docs, all columns as they are, that chosen names by (doc_id, text_key); with its other columns, if any.
+
+    Rows that repeat in doc_id and text count as one and one of them stays. Only the names of the columns doc_id and
+    text are needed; others may be called anything.
+    """
+    names = docs.columns
+    flat = docs.toDF(*[f"_{i}" for i in range(len(names))])
+    doc_id, text = (f"_{names.index(c)}" for c in ("doc_id", "text"))
+    flat = flat.withColumn("_key", F.xxhash64(F.col(doc_id).cast("long"), F.col(text).cast("string"))).withColumn("_id", F.col(doc_id).cast("long"))
+    repeated = flat.groupBy("_id", "_key").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("_id").alias("_rid"), F.col("_key").alias("_rkey"))
+    same = F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_key") == F.col("_rkey"))
+    once = flat.join(repeated, same, "left_anti").unionByName(flat.join(repeated, same, "left_semi").dropDuplicates(["_id", "_key"]))
+    extra = [c for c in chosen.columns if c not in ("doc_id", "text_key")]
+    named = chosen.select(F.col("doc_id").alias("_cid"), F.col("text_key").alias("_ckey"), *extra)
+    joined = once.join(named, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_key") == F.col("_ckey")), "inner" if extra else "left_semi")
+    return joined.select(*[f"_{i}" for i in range(len(names))], *extra).toDF(*names, *extra)
+
+
 def texts(column: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of each text of a batch; null counts as empty."""
     if not pa.types.is_large_string(column.type):
