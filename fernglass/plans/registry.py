@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: list[str] = []
+MODULES: list[str] = ["filters"]
 
 
 def _merged(attribute: str) -> dict:
