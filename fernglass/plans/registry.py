@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: list[str] = ["filters"]
+MODULES: list[str] = ["filters", "joins"]
 
 
 def _merged(attribute: str) -> dict:
