@@ -69,7 +69,7 @@ def same_shape(w1: Column, h1: Column, w2: Column, h2: Column, within: float = 0
 def sample_offsets(seconds: Column) -> Column:
     """Where to look into a film: its middle if short, else 3, 5 or 8 evenly spread places."""
     n = F.when(seconds < 10, 1).when(seconds < 60, 3).when(seconds < 600, 5).otherwise(8)
-    return F.transform(F.sequence(F.lit(1), n), lambda k: F.round(seconds * (2 * k - 1) / (2 * n), 3))
+    return F.transform(F.sequence(F.lit(1), n), lambda k: F.round(seconds * (2 * k - 1) / (2 * n), 6))
 
 
 def segments(seconds: Column, length: int = 1200) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: list[str] = ["filters", "joins", "aggregates"]
+MODULES: list[str] = ["filters", "joins", "aggregates", "scalars", "entities"]
 
 
 def _merged(attribute: str) -> dict:
