@@ -123,11 +123,15 @@ def terms(text: Column) -> Column:
 def text_rank(df: DataFrame, key: str, text: str, wanted: list[str]) -> DataFrame:
     """key, score of the rows that hold all wanted terms: the sum of 1 + ln(tf) over the length's root, best first by score and key."""
     rows = df.select(key, terms(F.col(text)).alias("_t")).withColumn("_n", F.size("_t"))
-    tf = [F.size(F.filter("_t", lambda w, x=x: w == x)) for x in wanted]
+    tf = [_times("_t", x) for x in wanted]
     kept = rows.where(F.lit(True) if not wanted else _all([n > 0 for n in tf]))
     return kept.select(key, (sum((1 + F.log(n.cast("double")) for n in tf), F.lit(0.0)) / F.sqrt("_n")).alias("score"))
 
 
+def _times(words: str, term: str) -> Column:
+    return F.size(F.filter(words, lambda w: w == term))
+
+
 def _all(tests: list[Column]) -> Column:
     out = tests[0]
     for t in tests[1:]:
