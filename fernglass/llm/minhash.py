@@ -1,15 +1,21 @@
 """Near-dedup by MinHash: universal hash minima, banding, signature check, full check, components by stars.
 
 Texts with equal shingle sets are one class from the start and only its least row goes on. Candidates are found in
-buckets (one band of a signature), without emitting all pairs of a bucket: each bucket has a centre, and each class is
-compared first with the centre that it meets most often, then with its other centres; what links joins components.
-Only then are pairs of a bucket listed, and only those of different components that hold a class outside the bucket's
-largest component, since no others can change the result: that step is exact for whatever is left.
+buckets (one band of a signature), without a list of all pairs of a bucket:
+
+1. each class is compared with one centre, the one that it meets in most buckets;
+2. where a bucket still holds several components, its classes' signatures are compared inside tasks (a full bucket is
+   cut into chunks, and chunks are compared with each other) and each class gives its most similar partner of another
+   component;
+3. what is left, pairs of different components whose signatures agree enough, is listed in full: pairs within a
+   component can't change the result, so that nothing is lost.
+
 A pair is dropped on its signatures only where their estimate is far too low, and links only on the full sets.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,19 +25,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fernglass.llm.graph import components
-from fernglass.llm.shared import pick, stash, texts
+from fernglass.llm.shared import keep_rows, pick, stash, text_key, texts
 
 WORDS = 5
 PERCENT = 85
-#: Minima of a signature: BANDS bands of ROWS each. A pair at 0.85 shares none with probability (1 - 0.85^4)^28, 1e-9.
-BANDS, ROWS = 28, 4
+#: The first minima of a signature are BANDS bands of ROWS each: a pair at 0.85 meets in no band with probability
+#: (1 - 0.85^6)^42, 2e-9. All HASHES minima, of which a signature has the low 16 bits, estimate the similarity.
+BANDS, ROWS, HASHES = 42, 6, 504
 #: Standard deviations below the threshold at which a signature's estimate rules a pair out.
-DEVIATIONS = 6
+DEVIATIONS = 5
+#: Classes of a bucket that one task compares with each other, or with as many others.
+CHUNK = 2_000
 SEED = 20_240_607
 
 _RNG = np.random.default_rng(SEED)
-_A = _RNG.integers(0, 2**64, BANDS * ROWS, np.uint64) | np.uint64(1)
-_B = _RNG.integers(0, 2**64, BANDS * ROWS, np.uint64)
+_A = (_RNG.integers(0, 2**32, HASHES, np.uint32) | np.uint32(1))[:, None]
+_B = _RNG.integers(0, 2**32, HASHES, np.uint32)[:, None]
 _P = np.uint64(0x9E3779B97F4A7C15)
 _KEPT = 500_000
 
@@ -70,12 +79,14 @@ def shingles(text: bytes, hashes: _Hashes, words: int = WORDS) -> np.ndarray:
 
 
 def signature(s: np.ndarray) -> np.ndarray:
-    """The upper 32 bits of the minimum of each universal hash a x + b over the set."""
-    low = np.full(len(_A), np.iinfo(np.uint64).max, np.uint64)
-    with np.errstate(over="ignore"):
-        for i in range(0, len(s), 1024):
-            low = np.minimum(low, (_A[:, None] * s[None, i : i + 1024] + _B[:, None]).min(axis=1))
-    return (low >> np.uint64(32)).astype(np.uint32)
+    """The minimum of each universal hash a x + b (mod 2^32, a odd) over the set's hashes, folded to 32 bits: its low 16 bits."""
+    x = (s ^ (s >> np.uint64(32))).astype(np.uint32)[None, :]
+    low = np.empty(len(_A), np.uint32)
+    for i in range(0, len(_A), 18):
+        h = _A[i : i + 18] * x
+        h += _B[i : i + 18]
+        h.min(axis=1, out=low[i : i + 18])
+    return low.astype(np.uint16)
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,21 +113,99 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(keys, pa.binary()), pa.array(found, pa.binary())], names=["node", "found_key", "items"])
 
 
+def _least(percent: int) -> int:
+    """Equal minima that a pair needs: DEVIATIONS below what is expected at the threshold."""
+    t, n = percent / 100, HASHES
+    return math.ceil(n * t - DEVIATIONS * math.sqrt(n * t * (1 - t)))
+
+
 def _similar(percent: int):
-    least = percent / 100 - DEVIATIONS * np.sqrt(percent / 100 * (1 - percent / 100) / (BANDS * ROWS))
+    least = _least(percent)
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Keeps the pairs whose signatures agree enough for the threshold and whose set sizes allow it."""
+        """Keeps the pairs whose signatures agree enough for the threshold."""
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
-            keep = (a == b).mean(axis=1) >= least
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
+            keep = (a == b).sum(axis=1) >= least
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return estimate
 
 
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups of rows with equal keys of a partition sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.stack([batch.column(k).to_numpy() for k in keys], axis=1)
+        cuts = [0, *(np.flatnonzero((rows[1:] != rows[:-1]).any(axis=1)) + 1).tolist(), len(rows)]
+        if last is not None and not (rows[0] == last).all():
+            yield pa.Table.from_batches(held)
+            held = []
+        for lo, hi in zip(cuts, cuts[1:]):
+            if lo:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+        last = rows[-1]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _met(percent: int, best: bool):
+    """Compares the classes of a task (band, lo, hi): those of chunk lo with those of chunk hi.
+
+    Gives pairs of different components whose sizes and signatures allow the threshold, in the first band in which the
+    two meet: for each class its most similar partner there (best), or all.
+    """
+    least = _least(percent)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[int, int, int]] = []
+        for table in _runs(batches, ["band", "lo", "hi"]):
+            node, comp, n, chunk = (table.column(c).to_numpy() for c in ("node", "c", "n_shingles", "chunk"))
+            sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(len(node), -1)
+            lo, hi, k = (table.column(c)[0].as_py() for c in ("lo", "hi", "k"))
+            left, right = (np.flatnonzero(chunk == lo), np.flatnonzero(chunk == hi))
+            if lo == hi and len(left) < 2:
+                continue
+            tops = {}
+            for at in range(0, len(left), 64):
+                i = left[at : at + 64]
+                j = right[at + 1 :] if lo == hi else right
+                ok = comp[i][:, None] != comp[j][None, :]
+                ok &= 100 * np.minimum(n[i][:, None], n[j][None, :]) >= percent * np.maximum(n[i][:, None], n[j][None, :])
+                if lo == hi:
+                    ok &= j[None, :] > i[:, None]
+                rows, cols = np.nonzero(ok)
+                for p in range(0, len(rows), 4_000):
+                    r, c = rows[p : p + 4_000], cols[p : p + 4_000]
+                    a, b = sig[i[r]], sig[j[c]]
+                    equal = a == b
+                    agree = equal.sum(axis=1)
+                    likely = np.flatnonzero(agree >= least)
+                    first = equal[likely, : BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+                    for q in likely[first == k]:
+                        m, u, v = int(agree[q]), int(node[i[r[q]]]), int(node[j[c[q]]])
+                        if best:
+                            tops[u] = max(tops.get(u, (0, 0)), (m, v))
+                            tops[v] = max(tops.get(v, (0, 0)), (m, u))
+                        else:
+                            out.append((min(u, v), max(u, v), m))
+            out += [(u, v, m) for u, (m, v) in tops.items()]
+            if len(out) > 20_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b", "agree"])
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b", "agree"])
+
+    return compare
+
+
 def _linked(percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,7 +232,7 @@ def _confirmed(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
 
 def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row per row of docs: row (its number here), doc_id, n_shingles, component_id, first.
+    """One row per row of docs: row (its number here), doc_id, text_key, n_shingles, component_id, first.
 
     Classes are linked where 100 x intersection >= percent x union of their sets of distinct 5-word shingles; a text
     with fewer words is one shingle; one without words, or null, links with nothing and is its own component.
@@ -151,14 +240,14 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     one row of each component: the one with that id, of repeated ids the first by row number. Repeated rows are linked
     as equal texts. Empty table: no rows.
     """
-    rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("text_key", F.xxhash64("doc_id", "text"))
+    rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("text_key", text_key())
     signed = stash(rows.select(F.monotonically_increasing_id().alias("row"), "*").mapInArrow(_signed, SIGNED), "signed")
     filled = signed.where("set_key is not null")
     classes = filled.groupBy("set_key").agg(F.min("row").alias("node"))
     nodes = filled.withColumnRenamed("row", "node").join(classes.select("node"), "node").select("node", "text_key", "set_key", "signature", "n_shingles")
     nodes = stash(nodes, "nodes")
-    bands = F.array(*[F.xxhash64(F.lit(k), F.substring("signature", 4 * ROWS * k + 1, 4 * ROWS)) for k in range(BANDS)])
-    spread = nodes.select("node", F.explode(bands).alias("band"))
+    bands = F.array(*[F.struct(F.lit(k).alias("k"), F.xxhash64(F.lit(k), F.substring("signature", 2 * ROWS * k + 1, 2 * ROWS)).alias("band")) for k in range(BANDS)])
+    spread = nodes.select("node", F.explode(bands).alias("b")).select("node", "b.k", "b.band")
     meeting = spread.groupBy("band").agg(F.count("*").alias("members"), F.min_by("node", F.xxhash64("node")).alias("centre")).where("members > 1").select("band", "centre")
     buckets = stash(spread.join(meeting, "band"), "buckets")
 
@@ -169,46 +258,36 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     members = stash(members.dropDuplicates(["node"]), "members")
 
     star = buckets.where("node != centre").groupBy("node", "centre").agg(F.count("*").alias("times"))
-    star = stash(star, "stars")
-    pair = [F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")]
-    first = star.groupBy("node").agg(F.max_by("centre", F.struct("times", "centre")).alias("centre")).select(*pair).distinct()
-    links = _confirmed(first, members, percent)
-    joined = stash(components(links), "joined")
-    links = links.unionByName(_confirmed(_apart(star.select(*pair).distinct(), joined), members, percent))
-    joined = stash(components(links), "joined")
-    links = links.unionByName(_confirmed(_across(buckets, joined), members, percent))
+    star = star.groupBy("node").agg(F.max_by("centre", F.struct("times", "centre")).alias("centre"))
+    star = star.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    links = _confirmed(star, members, percent)
     joined = stash(components(links), "joined")
+    for best in (True, False):
+        pairs = _apart(buckets, members, joined).mapInArrow(_met(percent, best), "a long, b long, agree long")
+        if best:
+            pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        links = links.unionByName(_confirmed(pairs, members, percent))
+        joined = stash(components(links), "joined")
 
     of_class = nodes.select("set_key", "node").join(joined, "node", "left").select("set_key", F.coalesce("component", "node").alias("group"))
-    out = signed.join(of_class, "set_key", "left").select("row", "doc_id", "n_shingles", F.coalesce("group", "row").alias("group"))
+    out = signed.join(of_class, "set_key", "left").select("row", "doc_id", "text_key", "n_shingles", F.coalesce("group", "row").alias("group"))
     out = stash(out, "grouped")
     least = out.groupBy("group").agg(F.min("doc_id").alias("component_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best"))
-    return out.join(least.select("group", "component_id", F.col("best.row").alias("best")), "group").select("row", "doc_id", "n_shingles", "component_id", (F.col("row") == F.col("best")).alias("first"))
-
-
-def _labelled(pairs: DataFrame, joined: DataFrame) -> DataFrame:
-    """pairs with the component of each end."""
-    for k in ("a", "b"):
-        pairs = pairs.join(joined.select(F.col("node").alias(k), F.col("component").alias(f"c_{k}")), k, "left").withColumn(f"c_{k}", F.coalesce(f"c_{k}", k))
-    return pairs
-
+    least = stash(least.select("group", "component_id", F.col("best.row").alias("best")), "least")  # so that Spark can split the join
+    return out.join(least, "group").select("row", "doc_id", "text_key", "n_shingles", "component_id", (F.col("row") == F.col("best")).alias("first"))
 
-def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
-    return _labelled(pairs, joined).where("c_a != c_b").select("a", "b")
 
-
-def _across(buckets: DataFrame, joined: DataFrame) -> DataFrame:
-    """The pairs of a bucket whose ends are in different components, each once, least first.
-
-    The classes outside a bucket's largest component are joined to all of the bucket: a bucket whose classes have all
-    joined gives no row, and a large component is never joined to itself.
-    """
-    tagged = buckets.join(joined, "node", "left").select("band", "node", F.coalesce("component", "node").alias("c"))
-    parts = tagged.groupBy("band", "c").agg(F.count("*").alias("n"))
-    mixed = parts.groupBy("band").agg(F.max_by("c", F.struct("n", "c")).alias("largest"), F.count("*").alias("parts")).where("parts > 1").select("band", "largest")
-    tagged = stash(tagged.join(mixed, "band"), "mixed")
-    small = tagged.where("c != largest").select("band", F.col("node").alias("x"), F.col("c").alias("d"))
-    return small.join(tagged.select("band", "node", "c"), "band").where("c != d").select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+def _apart(buckets: DataFrame, members: DataFrame, joined: DataFrame) -> DataFrame:
+    """The buckets that hold several components, dealt out to tasks (band, lo, hi) of two chunks at most, sorted."""
+    tagged = buckets.join(joined, "node", "left").select("k", "band", "node", F.coalesce("component", "node").alias("c"))
+    mixed = tagged.groupBy("band").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.count("*").alias("n")).where("least != most")
+    tagged = stash(tagged.join(mixed.select("band", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "band"), "mixed")
+    own = members.join(tagged.select("node").distinct(), "node").select("node", "n_shingles", "signature")
+    tagged = tagged.join(own, "node").withColumn("chunk", F.pmod(F.xxhash64(F.lit(9), "node"), F.col("chunks")).cast("int"))
+    tagged = tagged.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    tagged = tagged.select("band", "k", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "node", "c", "n_shingles", "signature")
+    return tagged.repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi")
 
 
 def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -220,6 +299,11 @@ def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
+def drop_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row of docs for each component of near_components(), all columns as they were."""
+    return keep_rows(docs, near_components(docs, percent).where("first").select("doc_id", "text_key"))
+
+
 SQL = r"""
 with recursive words as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
