@@ -363,7 +363,8 @@ def near_vectors(vectors: DataFrame, least: float = LEAST) -> DataFrame:
     nodes = nodes.select("dim", "unit", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("group"))
     out = stash(units.join(nodes, ["dim", "unit"], "left").select("row", "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("group", "row").alias("group")), "grouped")
     best = out.groupBy("group").agg(F.min("vec_id").alias("component_id"), F.min(F.struct(F.col("vec_id").isNull(), "vec_id", "row")).alias("best"))
-    return out.join(best.select("group", "component_id", F.col("best.row").alias("best")), "group").select("row", "vec_id", "n_links", "component_id", (F.col("row") == F.col("best")).alias("first"))
+    best = stash(best.select("group", "component_id", F.col("best.row").alias("best")), "least")  # so that Spark can split the join
+    return out.join(best, "group").select("row", "vec_id", "n_links", "component_id", (F.col("row") == F.col("best")).alias("first"))
 
 
 def near_dedup(vectors: DataFrame, least: float = LEAST) -> DataFrame:
