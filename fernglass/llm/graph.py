@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fernglass.llm.shared import stash
+from fernglass.llm.shared import discard, stash
 
 #: Steps after which a graph that still changes is reported as an error; stars halve the depth in each.
 MOST_STEPS = 60
+#: Edges that one file of a step holds, about.
+EDGES_OF_A_FILE = 200_000
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -27,20 +29,23 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("u > v").distinct()
 
 
+def _unfinished(edges: DataFrame) -> bool:
+    """Whether edges are not yet stars: a node has two centres, or is a centre and has one."""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return not ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """links: (a, b) longs, in any order, repeated or not, no nulls. Returns (node, component) for the nodes of links.
 
-    component is the least node reachable. A pair of equal ends adds nothing; no links give no rows.
+    component is the least node reachable. A pair of equal ends adds nothing; no links give no rows. Each step is
+    written in as many files as its number of edges asks for; steps never add edges.
     """
     edges = stash(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges")
-    before = None
+    files = 1 + edges.count() // EDGES_OF_A_FILE
     for _ in range(MOST_STEPS):
-        edges = stash(_stars(stash(_stars(edges, large=True), "large"), large=False), "small")
-        # A forest of stars is a fixed point: no node is both an end and a centre, and no node has two centres.
-        state = edges.agg(F.count("*"), F.count_distinct("u"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before or state[0] == 0:
-            break
-        before = state
-    else:
-        raise RuntimeError(f"components still change after {MOST_STEPS} steps")
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        if not _unfinished(edges):
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        before, edges = edges, stash(_stars(_stars(edges, large=True), large=False).coalesce(files), "edges")
+        discard(before)
+    raise RuntimeError(f"components still change after {MOST_STEPS} steps")

@@ -6,7 +6,7 @@ buckets (one band of a signature), without a list of all pairs of a bucket:
 1. each class is compared with one centre, the one that it meets in most buckets;
 2. where a bucket still holds several components, its classes' signatures are compared inside tasks (a full bucket is
    cut into chunks, and chunks are compared with each other) and each class gives its most similar partner of another
-   component;
+   component; this is repeated while it joins any, a few times at most;
 3. what is left, pairs of different components whose signatures agree enough, is listed in full: pairs within a
    component can't change the result, so that nothing is lost.
 
@@ -30,19 +30,22 @@ from fernglass.llm.shared import keep_rows, pick, stash, text_key, texts
 WORDS = 5
 PERCENT = 85
 #: The first minima of a signature are BANDS bands of ROWS each: a pair at 0.85 meets in no band with probability
-#: (1 - 0.85^6)^42, 2e-9. All HASHES minima, of which a signature has the low 16 bits, estimate the similarity.
+#: (1 - 0.85^6)^42, 2e-9. All HASHES minima, of which a signature has the low 8 bits, estimate the similarity; by
+#: chance alone one in 256 agrees, which never hides a pair.
 BANDS, ROWS, HASHES = 42, 6, 504
 #: Standard deviations below the threshold at which a signature's estimate rules a pair out.
 DEVIATIONS = 5
 #: Classes of a bucket that one task compares with each other, or with as many others.
 CHUNK = 2_000
+#: Rounds of most similar partners at most; the list that follows is exact after any number of them.
+PARTNER_ROUNDS = 2
 SEED = 20_240_607
 
 _RNG = np.random.default_rng(SEED)
 _A = (_RNG.integers(0, 2**32, HASHES, np.uint32) | np.uint32(1))[:, None]
 _B = _RNG.integers(0, 2**32, HASHES, np.uint32)[:, None]
 _P = np.uint64(0x9E3779B97F4A7C15)
-_KEPT = 500_000
+_KEPT = 100_000
 
 
 class _Hashes(dict):
@@ -79,14 +82,14 @@ def shingles(text: bytes, hashes: _Hashes, words: int = WORDS) -> np.ndarray:
 
 
 def signature(s: np.ndarray) -> np.ndarray:
-    """The minimum of each universal hash a x + b (mod 2^32, a odd) over the set's hashes, folded to 32 bits: its low 16 bits."""
+    """The minimum of each universal hash a x + b (mod 2^32, a odd) over the set's hashes, folded to 32 bits: its low 8 bits."""
     x = (s ^ (s >> np.uint64(32))).astype(np.uint32)[None, :]
     low = np.empty(len(_A), np.uint32)
     for i in range(0, len(_A), 18):
         h = _A[i : i + 18] * x
         h += _B[i : i + 18]
         h.min(axis=1, out=low[i : i + 18])
-    return low.astype(np.uint16)
+    return low.astype(np.uint8)
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +130,7 @@ def _similar(percent: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
             keep = (a == b).sum(axis=1) >= least
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -168,7 +171,7 @@ def _met(percent: int, best: bool):
         out: list[tuple[int, int, int]] = []
         for table in _runs(batches, ["band", "lo", "hi"]):
             node, comp, n, chunk = (table.column(c).to_numpy() for c in ("node", "c", "n_shingles", "chunk"))
-            sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(len(node), -1)
+            sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(node), -1)
             lo, hi, k = (table.column(c)[0].as_py() for c in ("lo", "hi", "k"))
             left, right = (np.flatnonzero(chunk == lo), np.flatnonzero(chunk == hi))
             if lo == hi and len(left) < 2:
@@ -221,12 +224,16 @@ def _linked(percent: int):
     return confirm
 
 
-def _confirmed(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) of classes that link: by size and signature first, then on their full sets."""
+def _likely(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) of classes that may link by size and signature."""
     side = lambda k: members.select(F.col("node").alias(k), F.col("signature").alias(f"sig_{k}"), F.col("n_shingles").alias(f"n_{k}"))
     likely = pairs.join(side("a"), "a").join(side("b"), "b")
     likely = likely.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b", "sig_a", "sig_b")
-    likely = likely.mapInArrow(_similar(percent), "a long, b long")
+    return likely.mapInArrow(_similar(percent), "a long, b long")
+
+
+def _confirmed(likely: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) of classes that link on their full sets."""
     held = lambda k: members.select(F.col("node").alias(k), F.col("items").alias(f"items_{k}"))
     return stash(likely.join(held("a"), "a").join(held("b"), "b").select("a", "b", "items_a", "items_b").mapInArrow(_linked(percent), "a long, b long"), "links")
 
@@ -246,7 +253,7 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = filled.groupBy("set_key").agg(F.min("row").alias("node"))
     nodes = filled.withColumnRenamed("row", "node").join(classes.select("node"), "node").select("node", "text_key", "set_key", "signature", "n_shingles")
     nodes = stash(nodes, "nodes")
-    bands = F.array(*[F.struct(F.lit(k).alias("k"), F.xxhash64(F.lit(k), F.substring("signature", 2 * ROWS * k + 1, 2 * ROWS)).alias("band")) for k in range(BANDS)])
+    bands = F.array(*[F.struct(F.lit(k).alias("k"), F.xxhash64(F.lit(k), F.substring("signature", ROWS * k + 1, ROWS)).alias("band")) for k in range(BANDS)])
     spread = nodes.select("node", F.explode(bands).alias("b")).select("node", "b.k", "b.band")
     meeting = spread.groupBy("band").agg(F.count("*").alias("members"), F.min_by("node", F.xxhash64("node")).alias("centre")).where("members > 1").select("band", "centre")
     buckets = stash(spread.join(meeting, "band"), "buckets")
@@ -260,15 +267,21 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     star = buckets.where("node != centre").groupBy("node", "centre").agg(F.count("*").alias("times"))
     star = star.groupBy("node").agg(F.max_by("centre", F.struct("times", "centre")).alias("centre"))
     star = star.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-    links = _confirmed(star, members, percent)
-    joined = stash(components(links), "joined")
-    for best in (True, False):
+    links = _confirmed(_likely(star, members, percent), members, percent)
+    joined = components(links)
+    best, rounds = True, 0
+    while True:
         pairs = _apart(buckets, members, joined).mapInArrow(_met(percent, best), "a long, b long, agree long")
         if best:
             pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = links.unionByName(_confirmed(pairs, members, percent))
-        joined = stash(components(links), "joined")
+        found = _confirmed(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), members, percent)
+        new = not found.isEmpty()  # a table by now: pairs are confirmed once
+        if new:
+            joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found))
+        if not best:
+            break
+        rounds += 1
+        best = new and rounds < PARTNER_ROUNDS  # once no partner links any more, the rest is listed
 
     of_class = nodes.select("set_key", "node").join(joined, "node", "left").select("set_key", F.coalesce("component", "node").alias("group"))
     out = signed.join(of_class, "set_key", "left").select("row", "doc_id", "text_key", "n_shingles", F.coalesce("group", "row").alias("group"))
@@ -282,9 +295,8 @@ def _apart(buckets: DataFrame, members: DataFrame, joined: DataFrame) -> DataFra
     """The buckets that hold several components, dealt out to tasks (band, lo, hi) of two chunks at most, sorted."""
     tagged = buckets.join(joined, "node", "left").select("k", "band", "node", F.coalesce("component", "node").alias("c"))
     mixed = tagged.groupBy("band").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.count("*").alias("n")).where("least != most")
-    tagged = stash(tagged.join(mixed.select("band", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "band"), "mixed")
-    own = members.join(tagged.select("node").distinct(), "node").select("node", "n_shingles", "signature")
-    tagged = tagged.join(own, "node").withColumn("chunk", F.pmod(F.xxhash64(F.lit(9), "node"), F.col("chunks")).cast("int"))
+    tagged = tagged.join(mixed.select("band", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "band")
+    tagged = tagged.join(members.select("node", "n_shingles", "signature"), "node").withColumn("chunk", F.pmod(F.xxhash64(F.lit(9), "node"), F.col("chunks")).cast("int"))
     tagged = tagged.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     tagged = tagged.select("band", "k", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "node", "c", "n_shingles", "signature")
     return tagged.repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi")

@@ -64,15 +64,24 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._stashed_at = path
+    return found
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(found: DataFrame) -> None:
+    """Deletes a table of stash() that nothing reads any more."""
+    _delete(found.sparkSession, found._stashed_at)
 
 
 def drop_stash(spark: SparkSession) -> None:
     """Deletes all that stash() has written in this application. Results that still read it become unreadable."""
-    path = f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}"
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    _delete(spark, f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}")
 
 
 def fold(doc_id: Column, parts: int) -> Column:
