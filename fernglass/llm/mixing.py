@@ -129,7 +129,8 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
     uses = mix(docs, **how).where("taken > 0").select("doc_id", "text_key", "size", use.alias("_use"))
     uses = uses.select("doc_id", "text_key", F.col("_use.position").alias("_position"), (F.col("_use.words") < F.col("size")).alias("_cut"), F.col("_use.words").alias("_words"))
     found = keep_rows(docs, uses)
-    schema = found.schema
+    flat = [f"c{i}" for i in range(len(names))]
+    found = found.toDF(*flat, "position", "cut", "words")
     text, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,8 +146,8 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
                 batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
             yield batch
 
-    dealt = found.mapInArrow(cut, schema).repartitionByRange("_position").sortWithinPartitions("_position")
-    return dealt.select(*[dealt[c] for c in names])
+    dealt = found.mapInArrow(cut, found.schema).repartitionByRange("position").sortWithinPartitions("position")
+    return dealt.select(*flat).toDF(*names)
 
 
 SQL = r"""

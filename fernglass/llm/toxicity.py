@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fernglass.llm.shared import fold, logistic, pick, texts
+from fernglass.llm.shared import fold, logistic, pick, small_batches, texts
 
 #: Labelled rows of each class that are learned from, about: all of them, or as many of the least hashes of the id.
 SAMPLE_DOCS = 20_000
@@ -277,4 +277,4 @@ def reject(docs: DataFrame, model: Model) -> DataFrame:
             keep = [shared.value.probability(shared.value.evidence(found, n)) < THRESHOLD for n, found in _best(texts(batch.column(at)), shared.value)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)

@@ -137,7 +137,7 @@ def test_language_model(frame, tongues, monkeypatch):
     docs = frame(rows)
     plain = hmm_lm.pick(docs, "doc_id", "text")
     model = hmm_lm.train(plain.where(part != 2), states=3)
-    model.vocabulary.frequent <= 40
+    assert model.vocabulary.frequent <= 40 and len(model.vocabulary.index) <= 60
     got = hmm_lm.score(docs, model, part == 2).collect()
     assert len(got) == len(rows)
     split = {i: [*(t or "").encode().lower().split(), b""] for i, t, _, _ in rows}
