@@ -268,8 +268,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def reject(docs: DataFrame, model: Model) -> DataFrame:
     """docs without the rows whose text is predicted toxic, all columns as they were. Null and empty texts stay."""
-    schema = docs.schema
-    at = docs.columns.index("text")
+    names = docs.columns
+    at = names.index("text")
+    flat = small_batches(docs).toDF(*[f"_{i}" for i in range(len(names))])  # as names may differ in case only
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,4 +278,4 @@ def reject(docs: DataFrame, model: Model) -> DataFrame:
             keep = [shared.value.probability(shared.value.evidence(found, n)) < THRESHOLD for n, found in _best(texts(batch.column(at)), shared.value)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return small_batches(docs).mapInArrow(run, schema)
+    return flat.mapInArrow(run, flat.schema).toDF(*names)
