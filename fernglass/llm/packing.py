@@ -14,7 +14,6 @@ import zlib
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +24,8 @@ from pyspark.sql import functions as F
 from fernglass.llm.shared import pick, stash, texts
 
 CAPACITY = 2048
-#: Words whose ids a Python worker keeps; the rest are encoded anew in each chunk.
-KEPT_WORDS = 600_000
-#: Bytes of text that are encoded at a time.
-CHUNK_BYTES = 2_000_000
+#: Words whose ids a Python worker keeps; the rest are encoded anew each time.
+KEPT_WORDS = 800_000
 
 Run = tuple[int, int, int, int, int]
 
@@ -56,7 +53,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
+        self.words = _Words(self)
         self.letters = _byte_letters()
         self.marks = {b"": b""} | dict(zip((b".", b","), self.slow([b".", b","])))
 
@@ -70,46 +67,32 @@ class Encoder:
         batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         return [array("I", e.ids).tobytes() for e in batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
 
-    def learn(self, new: list[bytes]) -> dict[bytes, bytes]:
-        """The ids of new words."""
-        made: dict[bytes, bytes] = {}
-        rest = []
-        tokenize, letters, marks = self.tokenizer.model.tokenize, self.letters, self.marks
-        for word in new:
-            mark = word[-1:] if word[-1:] in (b".", b",") else b""
-            core = word[: len(word) - len(mark)].decode("utf-8", "replace")
-            if core.isalpha() and max(core) < "\u0250" and "\u0130" not in core:
-                pieces = tokenize(core.lower().encode().decode("latin-1").translate(letters))
-                made[word] = array("I", [t.id for t in pieces]).tobytes() + marks[mark]
-            else:
-                rest.append(word)
-        made.update(zip(rest, self.slow(rest)))
-        return made
-
-    def encode(self, chunk: list[bytes]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [t.split() for t in chunk]
-        known = self.words
-        new = list(set(chain.from_iterable(split)).difference(known))
-        made = self.learn(new) if new else {}
-        if len(known) + len(made) <= KEPT_WORDS:
-            known.update(made)
-            made = {}
-        if not made:
-            return [b"".join(map(known.__getitem__, words)) for words in split]
-        return [b"".join([made[w] if w in made else known[w] for w in words]) for words in split]
-
-
-def _chunks(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-    chunk, size = [], 0
-    for row in rows:
-        chunk.append(row)
-        size += len(row[1]) + 1
-        if size >= CHUNK_BYTES:
-            yield chunk
-            chunk, size = [], 0
-    if chunk:
-        yield chunk
+    def of_word(self, word: bytes) -> bytes:
+        """The ids of one word."""
+        mark = word[-1:] if word[-1:] in (b".", b",") else b""
+        core = word[: len(word) - len(mark)].decode("utf-8", "replace")
+        if core.isalpha() and max(core) < "\u0250" and "\u0130" not in core:
+            pieces = self.tokenizer.model.tokenize(core.lower().encode().decode("latin-1").translate(self.letters))
+            return array("I", [t.id for t in pieces]).tobytes() + self.marks[mark]
+        return self.slow([word])[0]
+
+    def encode(self, text: bytes) -> bytes:
+        """The ids of a text as little-endian unsigned 32-bit numbers."""
+        return b"".join(map(self.words.__getitem__, text.split()))
+
+
+class _Words(dict):
+    """Ids of words, kept while there is room."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.encoder.of_word(word)
+        if len(self) < KEPT_WORDS:
+            self[word] = ids
+        return ids
 
 
 def pieces_of(tokenizer_path: str, capacity: int, end_id: int):
@@ -121,14 +104,13 @@ def pieces_of(tokenizer_path: str, capacity: int, end_id: int):
         ranks = [0] * (capacity + 1)
         for batch in batches:
             out: list[tuple] = []
-            for chunk in _chunks(zip(batch.column("doc_id").to_pylist(), texts(batch.column("text")))):
-                for (doc_id, _), ids in zip(chunk, encoder.encode([text for _, text in chunk])):
-                    ids += end
-                    for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[at : at + 4 * capacity]
-                        n = len(own) // 4
-                        out.append((doc_id, k, at // 4, n, zlib.crc32(own), part, ranks[n]))
-                        ranks[n] += 1
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text"))):
+                ids = encoder.encode(text) + end
+                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
+                    own = ids[at : at + 4 * capacity]
+                    n = len(own) // 4
+                    out.append((doc_id, k, at // 4, n, zlib.crc32(own), part, ranks[n]))
+                    ranks[n] += 1
             if out:
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"])
