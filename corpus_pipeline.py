@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from fernglass.llm import exact_dedup, minhash, mixing, packing, toxicity
 from fernglass.llm.shared import stash
 
+#: Percent of their word shingles that near copies share at least; the 85 of minhash.PERCENT is op2_minhash's own.
+SHARED = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, fitted on these documents and the labels, does not reject."""
@@ -22,7 +25,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies, the document of the smallest id."""
-    return minhash.drop_near_copies(docs)
+    return minhash.drop_near_copies(docs, SHARED)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

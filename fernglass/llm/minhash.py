@@ -30,8 +30,8 @@ from fernglass.llm.shared import keep_rows, pick, stash, text_key, texts
 WORDS = 5
 PERCENT = 85
 #: The first minima of a signature are BANDS bands of ROWS each: a pair at 0.85 meets in no band with probability
-#: (1 - 0.85^6)^42, 2e-9. All HASHES minima, of which a signature has the low 8 bits, estimate the similarity; by
-#: chance alone one in 256 agrees, which never hides a pair.
+#: (1 - 0.85^6)^42, 2e-9, and one at 0.8, where the pipeline links, with 3e-6. All HASHES minima, of which a signature
+#: has the low 8 bits, estimate the similarity; by chance alone one in 256 agrees, which never hides a pair.
 BANDS, ROWS, HASHES = 42, 6, 504
 #: Standard deviations below the threshold at which a signature's estimate rules a pair out.
 DEVIATIONS = 5

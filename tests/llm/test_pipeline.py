@@ -139,3 +139,15 @@ def test_empty_corpus(spark, folder, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{path}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copies_from_four_fifths(spark):
+    """100 distinct shingles on each side: 88 shared are 0.786, 89 to 91 are 0.802 to 0.835."""
+    rows = []
+    for shared in (88, 89, 90, 91):
+        words = [f"{shared}a{k}" for k in range(104)]
+        other = words[: shared + 4] + [f"{shared}b{k}" for k in range(100 - shared)]
+        rows += [(2 * shared, " ".join(words)), (2 * shared + 1, " ".join(other))]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [176, 177, 178, 180, 182]
