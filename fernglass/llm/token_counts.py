@@ -1,15 +1,16 @@
 """Token counts by a count-only Viterbi search over a unigram vocabulary.
 
-A text is cut before each blank, which a word keeps as U+2581; no piece crosses a cut, so that the best segmentation
-of a text is that of its words. An Aho-Corasick automaton lists the pieces that end at each character of a word, and a
-dynamic programme carries the best score and its number of pieces, never the pieces. Ties go as in the tokenizer: a
-later candidate must be better, and candidates come in the order of their starts. A character that is no piece itself
-is unknown, at the lowest score less 10; where the vocabulary has pieces for all bytes it counts as its bytes, else a
-run of unknown characters is one token.
+A text is cut before each run of blanks, which the word after it keeps as U+2581s; where no piece of the vocabulary
+crosses a cut, the best segmentation of a text is that of its words, else the whole text is searched. An Aho-Corasick
+automaton lists the pieces that end at each character of a word, and a dynamic programme carries the best score and its
+number of pieces, never the pieces. Ties go as in the tokenizer: a later candidate must be better, and candidates come
+in the order of their starts. A character that is no piece itself is unknown, at the lowest score less 10; where the
+vocabulary has pieces for all bytes it counts as its bytes, else a run of unknown characters is one token.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,6 +25,7 @@ PENALTY = 10.0
 #: Words whose counts a Python worker keeps.
 KEPT_WORDS = 500_000
 _BLANK_BYTES = BLANK.encode()
+_FIRST_BLANK = re.compile(rb"(?<! ) ")
 
 
 def pieces(path: str) -> list[tuple[str, float]]:
@@ -35,7 +37,7 @@ def pieces(path: str) -> list[tuple[str, float]]:
 
 
 class Counter(dict):
-    """(score, tokens) of a word given as bytes without its leading blank, looked up or searched."""
+    """(score, tokens) of a word given as bytes without the first of its leading blanks, looked up or searched."""
 
     _made: dict[str, Counter] = {}
 
@@ -51,6 +53,8 @@ class Counter(dict):
         self.unknown = min((s for _, s in vocabulary), default=0.0) - PENALTY
         names = {p for p, _ in vocabulary}
         self.in_bytes = all(f"<0x{b:02X}>" in names for b in range(256))
+        #: Neither a piece nor a run of unknown characters goes on from a character to a blank.
+        self.in_words = not any(re.search(f"[^{BLANK}]{BLANK}", p) for p in names) and (BLANK in names or self.in_bytes)
 
     @classmethod
     def of(cls, path: str) -> Counter:
@@ -59,7 +63,7 @@ class Counter(dict):
         return cls._made[path]
 
     def search(self, word: str) -> tuple[float, int]:
-        """Score and tokens of a word as the automaton sees it, its blank included."""
+        """Score and tokens of a word as the automaton sees it, its blanks included."""
         n = len(word)
         best = [0.0] * (n + 1)
         count = [-1] * (n + 1)  # -1: not reached
@@ -96,7 +100,7 @@ class Counter(dict):
         return best[n], count[n]
 
     def __missing__(self, word: bytes) -> tuple[float, int]:
-        found = self.search(BLANK + word.decode("utf-8", "replace"))
+        found = self.search(BLANK + word.decode("utf-8", "replace").replace(" ", BLANK))
         if len(self) < KEPT_WORDS:
             self[word] = found
         return found
@@ -105,7 +109,10 @@ class Counter(dict):
         """Score and tokens of a text; an empty one has none."""
         if not text:
             return 0.0, 0
-        words = text.replace(_BLANK_BYTES, b" ").split(b" ")
+        text = text.replace(_BLANK_BYTES, b" ")
+        if not self.in_words:
+            return self.search(BLANK + text.removeprefix(b" ").decode("utf-8", "replace").replace(" ", BLANK))
+        words = _FIRST_BLANK.split(text) if b"  " in text else text.split(b" ")
         if not words[0]:
             del words[0]  # a text that starts with a blank gets no other
         score, tokens = 0.0, 0

@@ -195,6 +195,26 @@ def test_token_counts_against_tokenizer(frame, corpus):
     assert token_counts.token_counts(frame([]), PIECES).count() == 0
 
 
+def test_runs_of_blanks_against_tokenizer(frame):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    r = random.Random(3)
+    texts = [" " * k + "if x:" + " " * n + "return" + " " * k for k in range(4) for n in range(40)] + [" " * n for n in range(1, 40)] + ["a▁▁▁b", " \n  \t   x", "é  ☃   𝕏", "    def f():\n        return   1\n"]
+    texts += ["".join(r.choice(["x", "ab", "\n", "☃", "the", " ", "  ", " " * 7]) for _ in range(30)) for _ in range(200)]
+    whole = Tokenizer(models.Unigram(token_counts.pieces(PIECES), unk_id=0, byte_fallback=True))
+    whole.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=False)
+    got = {r.doc_id: r.n_tokens for r in token_counts.token_counts(frame([(i, t, None, None) for i, t in enumerate(texts)]), PIECES).collect()}
+    assert got == {i: len(whole.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
+def test_pieces_across_words():
+    for vocabulary in ([("a", -1.0), ("b", -1.0), ("▁", -1.0), ("▁a", -1.5), ("a▁b", -1.2)], [("a", -1.0), ("b", -1.5)]):
+        counter = token_counts.Counter(vocabulary)
+        for n in range(1, 6):
+            for text in map("".join, itertools.product("ab ", repeat=n)):
+                assert counter.count(text.encode()) == counter.search("▁" + text.removeprefix(" ").replace(" ", "▁")), text
+
+
 def test_viterbi_against_enumeration():
     vocabulary = [("a", -1.0), ("ab", -1.5), ("b", -0.5), ("bc", -0.7), ("▁", -2.0), ("▁a", -2.1), ("abc", -1.6)]
     counter = token_counts.Counter(vocabulary)
