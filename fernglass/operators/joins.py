@@ -97,12 +97,28 @@ def explain_absence(wanted: DataFrame, key: str, sources: list[tuple[str, DataFr
 
 
 def resolve_paths(nodes: DataFrame, most: int = 64) -> DataFrame:
-    """id, path of a table (id, parent, name): names from the root down. Cycles end without a path.
+    """id, path of a table (id, parent, name): names from the root down. Only cycles, and what hangs on them, end without a path.
 
-    Pointers are doubled: after k rounds a row knows 2^k of its ancestors, so that depth costs its logarithm.
+    Pointers are doubled: after k rounds a row knows 2^k of its ancestors, so that depth costs its logarithm. Depths up to
+    most take no look at the rows; then rounds go on until one settles no row: what is still open leads into a cycle, as
+    a row of some depth has ancestors of each lesser one.
     """
     rows = nodes.select("id", F.col("parent").alias("up"), F.col("name").alias("path"))
     for _ in range(max(1, most.bit_length())):
-        above = rows.select(F.col("id").alias("up"), F.col("up").alias("_up"), F.col("path").alias("_path"))
-        rows = rows.join(above, "up", "left").select("id", F.col("_up").alias("up"), F.when(F.col("_path").isNull(), F.col("path")).otherwise(F.concat_ws("/", "_path", "path")).alias("path"))
+        rows = _doubled(rows)
+    rows = _written(rows)
+    before, left = None, rows.where("up is not null").count()
+    while left and left != before:
+        rows = _written(_doubled(rows))
+        before, left = left, rows.where("up is not null").count()
     return rows.select("id", F.when(F.col("up").isNull(), F.col("path")).alias("path"))
+
+
+def _doubled(rows: DataFrame) -> DataFrame:
+    above = rows.select(F.col("id").alias("up"), F.col("up").alias("_up"), F.col("path").alias("_path"))
+    return rows.join(above, "up", "left").select("id", F.col("_up").alias("up"), F.when(F.col("_path").isNull(), F.col("path")).otherwise(F.concat_ws("/", "_path", "path")).alias("path"))
+
+
+def _written(rows: DataFrame) -> DataFrame:
+    """rows with their lineage ended, in the checkpoint folder if there is one."""
+    return rows.checkpoint() if rows.sparkSession.sparkContext.getCheckpointDir() else rows.localCheckpoint()

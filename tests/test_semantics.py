@@ -122,6 +122,12 @@ def test_paths_without_end(spark):
     assert got[3] == "root/a/b" and got[1] == "root" and got[8] is None and got[9] is None
 
 
+def test_paths_of_deep_trees(spark):
+    rows = [(i, i - 1 if i else None, f"n{i}") for i in range(300)] + [(900, 901, "x"), (901, 900, "y"), (902, 901, "z")]
+    got = {r.id: r.path for r in joins.resolve_paths(spark.createDataFrame(rows, "id long, parent long, name string"), 8).collect()}
+    assert got == {i: "/".join(f"n{k}" for k in range(i + 1)) for i in range(300)} | {900: None, 901: None, 902: None}
+
+
 def test_fallback_says_its_kind(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], "k long, base string")
     exact = spark.createDataFrame([(1, "x")], "k long, v string")
