@@ -297,3 +297,15 @@ def test_online_means_stream(spark, tmp_path):
     stream = spark.readStream.schema("b long, k long, v array<double>").parquet(str(tmp_path / "in"))
     got = state.run_to_end(state.online_means(stream, "b", "k", "v"), "means", str(tmp_path / "c"))
     assert {(x.key % 2, x.cluster) for x in got.collect()} == {(0, 0), (1, 1)}
+
+
+def test_composed_keys_of_whole_texts(spark, tmp_path):
+    import re
+    import unicodedata
+
+    from fernglass.plans import all_queries
+
+    rows = [(1, "ﬁne ① " * 50 + "End"), (2, "short"), (3, ""), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.key for r in all_queries()["str_02_name_key_composed"](spark, str(tmp_path)).collect()}
+    assert got == {i: None if t is None else re.sub(r"[\W_]+", " ", unicodedata.normalize("NFKC", t).lower()).strip() for i, t in rows}
