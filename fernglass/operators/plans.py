@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fernglass.operators.running import with_running
+
 
 def staged(df: DataFrame, stages: list[tuple[str, list[str], DataFrame]], otherwise: str, alias: str = "proof") -> DataFrame:
     """df with the name of the first stage whose table has the row's keys."""
@@ -25,16 +27,12 @@ def bucketed(value: Column, edges: list[float]) -> Column:
 
 
 def within_budget(df: DataFrame, size: str, limit: float, *order: str) -> DataFrame:
-    """The rows, in order, whose running size stays within a limit.
+    """The rows, in order (nulls first, ties by the rows' hashes), whose running size stays within a limit.
 
-    The running sum is made in two levels, over ranges of the first column and inside them, so that no task has all rows.
+    A null size counts as nothing. The running sum is made in two levels, over ranges and inside them, so that no task
+    has all rows.
     """
-    dealt = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
-    inside = F.sum(size).over(Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    rows = dealt.withColumn("_run", inside)
-    parts = rows.groupBy("_p").agg(F.sum(size).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    return rows.join(parts.select("_p", before.alias("_b")), "_p").where(F.col("_run") + F.col("_b") <= limit).drop("_p", "_run", "_b")
+    return with_running(df, list(order), F.coalesce(F.col(size), F.lit(0)), "_run").where(F.col("_run") <= limit).drop("_run")
 
 
 def rebased(shards: DataFrame, shard: str, id_col: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fernglass.operators.running import with_running
+
 
 def verdict(wrong: Column, checked: Column, sampled: Column) -> Column:
     """ok, wrong or cannot tell, from counts: a sample of which nothing was derived again is wrong."""
@@ -17,19 +19,11 @@ def stratified(df: DataFrame, stratum: str, order: Column, n: int) -> DataFrame:
 
 
 def every_nth(df: DataFrame, key: str, n: int) -> DataFrame:
-    """Every n-th row by key, the first included.
+    """Every n-th row by key (nulls first), the first included; rows with equal keys in the order of their hashes.
 
-    Ranks are counted in two levels, within key ranges and over them, so that no task holds all rows.
+    Ranks are counted in two levels, within key ranges and over them, so that no task holds all rows. Empty: no rows.
     """
-    dealt = df.repartitionByRange(key).withColumn("_p", F.spark_partition_id())
-    inside = F.row_number().over(Window.partitionBy("_p").orderBy(key))
-    return _global_rank(dealt.withColumn("_r", inside)).where((F.col("_rank") - 1) % n == 0).drop("_rank")
-
-
-def _global_rank(rows: DataFrame) -> DataFrame:
-    counts = rows.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.join(counts.select("_p", before.alias("_b")), "_p").withColumn("_rank", F.col("_r") + F.col("_b")).drop("_p", "_r", "_b")
+    return with_running(df, [key], F.lit(1).cast("long"), "_rank").where((F.col("_rank") - 1) % n == 0).drop("_rank")
 
 
 def removal_guard(known: DataFrame, listed: DataFrame, key: str, share: float = 0.2, few: int = 20) -> DataFrame:

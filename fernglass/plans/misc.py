@@ -277,11 +277,11 @@ def msc_43(spark, d):
     return last.groupBy(F.when(F.col("value") > 100, "large").when(F.col("event_type") == "error", "failed").otherwise("ok").alias("verdict")).agg(F.count("*").alias("n"))
 
 
-@query("msc_44_copy_budget", "with m as (select doc_id, n_chars from documents where md5(text) not in (select md5(text) from documents where source = 'src8') and source <> 'src8'), r as (select *, sum(n_chars) over (order by doc_id rows unbounded preceding) as run from m) select doc_id from r where run <= 500000")
+@query("msc_44_copy_budget", "with m as (select doc_id, lang, n_chars from documents where md5(text) not in (select md5(text) from documents where source = 'src8') and source <> 'src8'), r as (select *, sum(n_chars) over (order by doc_id rows unbounded preceding) as run from m) select doc_id, lang, n_chars from r where run <= 500000")
 def msc_44(spark, d):
-    docs = Tables(spark, d).documents.select("doc_id", "source", "n_chars", _md5().alias("h"))
-    missing = docs.where("source <> 'src8'").join(docs.where("source = 'src8'").select("h"), "h", "left_anti").select("doc_id", "n_chars")
-    return P.within_budget(missing, "n_chars", 500_000, "doc_id").select("doc_id")
+    docs = Tables(spark, d).documents.select("doc_id", "source", "lang", "n_chars", _md5().alias("h"))
+    missing = docs.where("source <> 'src8'").join(docs.where("source = 'src8'").select("h"), "h", "left_anti")
+    return P.within_budget(missing, "n_chars", 500_000, "doc_id").select("doc_id", "lang", "n_chars")
 
 
 @query("msc_45_state_counters", "select (select count(*) from events) as lines, (select count(*) from events where event_type = 'error') as errors, (select cast(sum(n_chars) as bigint) from documents where lang = 'en') as freed")

@@ -142,9 +142,9 @@ def qua_06(spark, d):
     return Q.stratified(Tables(spark, d).documents, "source", order, 5).select("doc_id", "source")
 
 
-@query("qua_07_every_nth", "select o_orderkey from (select o_orderkey, row_number() over (order by o_orderkey) as k from orders) where (k - 1) % 97 = 0")
+@query("qua_07_every_nth", "select o_orderkey, o_orderpriority, o_totalprice from (select *, row_number() over (order by o_orderkey) as k from orders) where (k - 1) % 97 = 0")
 def qua_07(spark, d):
-    return Q.every_nth(Tables(spark, d).orders.select("o_orderkey"), "o_orderkey", 97)
+    return Q.every_nth(Tables(spark, d).orders, "o_orderkey", 97).select("o_orderkey", "o_orderpriority", "o_totalprice")
 
 
 
