@@ -1,73 +1,76 @@
 """Main text of web pages by gradient-boosted trees over DOM nodes, with hierarchical decoding.
 
 A page is read into a tree of block elements, whose leaves are runs of text (inline elements do not cut a run). Each
-node has features of its tag, its attributes' words and its ancestors', its subtree (text, links, tags, punctuation),
-its depth, its place and its siblings. Trees give each node's odds of holding main text. The decoding takes the most
+node has features of its tag and its ancestors', of its attributes' tokens (each hashed token has log-odds of holding
+main text, learnt from the training pages), of its subtree (text, links, tags, punctuation), its depth, its place, its
+siblings and the elements around it. Trees give each node's odds of holding main text. The decoding takes the most
 likely labels among those without contradiction, where a node holds main text if and only if one of its children
 does: a dynamic programme from the leaves up, read from the root down.
 
-There are no labelled pages, so the trees learn from pages that this module makes: TRAIN_PAGES invented pages of many
-layouts with known main text.
+There are no labelled pages, so the trees learn from TRAIN_PAGES invented pages of many layouts (html_pages.py), of
+whose vocabulary nothing here knows but what it learns.
 """
 
 from __future__ import annotations
 
 import html
 import math
-import random
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fernglass.llm import boosting
+from fernglass.llm import boosting, html_pages
 from fernglass.llm.shared import pick, texts
 
 #: Invented pages that the trees are fitted on.
-TRAIN_PAGES = 500
+TRAIN_PAGES = 600
 SEED = 11
+#: Places of hashed attribute tokens, and the pseudo-counts that pull a token's log-odds to 0.
+SLOTS, PULL = 1 << 14, 3.0
 
 # Elements of HTML by what they do to the text around them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style noscript template svg iframe textarea title object canvas math select".split())
-BLOCKS = frozenset("html head body article section nav aside header footer main div p ul ol li dl dt dd table thead tbody tfoot tr td th caption form fieldset legend figure figcaption blockquote pre h1 h2 h3 h4 h5 h6 address details summary dialog menu hgroup search hr".split())
+#: Their content is no text of the page; without an end tag only the tag itself is skipped, or, for RAW, see parse().
+HIDDEN = frozenset("script style noscript template svg iframe textarea title select datalist audio video".split())
+RAW = frozenset("script style".split())
+BLOCKS = frozenset("html head body article section nav aside header footer main div p ul ol li dl dt dd table thead tbody tfoot tr td th caption form fieldset legend figure figcaption blockquote pre h1 h2 h3 h4 h5 h6 address details summary dialog menu hgroup search hr center".split())
 CLOSES_P = BLOCKS - {"html", "head", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "legend", "li", "dt", "dd"}
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "p": ("p",)}
 STOPS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
-
-# Words in class, id and role that say what an element is for.
-HINTS = {
-    "main": "article content main post entry story body text blog page prose".split(),
-    "menu": "nav navbar navigation menu breadcrumb breadcrumbs toc pagination pager tabs links".split(),
-    "advert": "ad ads adv advert advertisement adsense sponsor sponsored promo promotion banner".split(),
-    "foot": "footer foot copyright legal colophon contentinfo imprint".split(),
-    "head": "header masthead logo brand topbar hero".split(),
-    "side": "sidebar aside side widget rail related recommended popular trending teaser more complementary".split(),
-    "notice": "cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe signup login paywall".split(),
-    "social": "share sharing social follow tags meta byline author".split(),
-    "comment": "comment comments reply replies disqus respond discussion thread reviews".split(),
-}
-HINT_OF = {w: k for k, words in enumerate(HINTS.values()) for w in words}
-TAGS = ("article", "main", "section", "div", "p", "li", "nav", "aside", "header", "footer", "form", "table", "blockquote", "pre", "figure", "a")
+#: From the tags that mostly surround main text to those that mostly are it: a tag's number is a feature.
+TAGS = ("nav", "aside", "footer", "header", "form", "menu", "ul", "li", "dl", "dt", "dd", "table", "tr", "td", "th", "section", "div", "details", "figure", "figcaption", "pre", "blockquote", "main", "article", "p")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_BIT = {t: 1 << k for k, t in enumerate(TAGS)}
+_NUMBER = {t: float(k) for k, t in enumerate(TAGS)} | dict.fromkeys(HEADINGS, float(len(TAGS))) | {None: -1.0}
+_SECTION = _BIT["article"] | _BIT["main"]
+_TABLE, _ITEM = _BIT["table"], _BIT["li"]
+_APART = sum(_BIT[t] for t in ("nav", "aside", "header", "footer", "form"))
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"\b(class|id|role|data-y)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
+_ATTR = re.compile(r"\b(class|id|role|itemprop|data-y)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 _WORD = re.compile(r"[a-z]+")
+_HUMP = re.compile(r"([a-z])([A-Z])")
 _WHITE = re.compile(r"[ \t\n\x0b\x0c\r]+")
 _MARKS = re.compile(r"[.,;:!?…。，]")
+_ENDS = frozenset(".!?…。:\"'»”)")
+_SIGNS = re.compile("[\u00a9\u00b7\u00bb]|\\([cC]\\)")
+_BODY = re.compile(r"</head\b|<body\b", re.I)
 
 
 class Node:
     """A block element, or a run of text (tag None). first: characters of text before it on the page."""
 
-    __slots__ = ("tag", "parent", "children", "hints", "text", "chars", "linked", "marks", "links", "tags", "paragraphs", "items", "runs", "depth", "place", "first", "label")
+    __slots__ = ("tag", "parent", "children", "words", "text", "chars", "linked", "marks", "links", "tags", "paragraphs", "items", "runs", "depth", "place", "first", "label")
 
-    def __init__(self, tag: str | None, parent: Node | None, hints: int = 0, first: int = 0):
-        self.tag, self.parent, self.children, self.hints, self.first = tag, parent, [], hints, first
+    def __init__(self, tag: str | None, parent: Node | None, words: tuple[str, ...] = (), first: int = 0):
+        self.tag, self.parent, self.children, self.words, self.first = tag, parent, [], words, first
         self.text = ""
         self.chars = self.linked = self.marks = self.links = self.tags = self.paragraphs = self.items = self.runs = 0
         self.label = 0
@@ -77,27 +80,34 @@ class Node:
             parent.children.append(self)
 
 
-def _hints(attributes: str) -> tuple[int, str]:
-    """Bits of the kinds that class, id and role speak of, and the label of an invented page's element."""
-    bits, label = 0, ""
+def _tokens(attributes: str) -> tuple[str, ...]:
+    """The words of class, id, role and itemprop, cut at humps and marks, each once."""
+    found: dict[str, None] = {}
     for name, value in _ATTR.findall(attributes):
-        if name.lower() == "data-y":
-            label = value.strip("\"'")
-            continue
-        for word in _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()):
-            if (k := HINT_OF.get(word)) is not None:
-                bits |= 1 << k
-    return bits, label
+        if name.lower() != "data-y":
+            found |= dict.fromkeys(_WORD.findall(_HUMP.sub(r"\1 \2", value).lower()))
+    return tuple(found)
+
+
+def _mark(attributes: str) -> int | None:
+    """The label of an invented page's element, if it has one; only fit() asks."""
+    return next((int(value.strip("\"'")) for name, value in _ATTR.findall(attributes) if name.lower() == "data-y"), None)
 
 
-def parse(page: str) -> Node:
-    """The tree of a page, however broken: unknown ends are ignored, missing ones implied."""
+def parse(page: str, invented: bool = False) -> Node:
+    """The tree of a page, however broken: unknown ends are ignored, missing ones implied.
+
+    A hidden element goes up to its end tag. Without one, script and style go up to the page's body, or else to its end;
+    a title up to the next tag; of others only the tag is skipped. The labels of invented pages are read for them alone.
+    """
     root = Node("html", None)
     at = root
     run: list[str] = []
     linked: list[str] = []
     links = in_link = seen = 0
     label = {id(root): 0}
+    open_: Counter = Counter()  # open elements by tag, so that ends without a start cost nothing
+    endless: set[str] = set()  # hidden elements that have no end any more
 
     def end_run() -> None:
         nonlocal links, seen
@@ -119,6 +129,15 @@ def parse(page: str) -> Node:
         if in_link:
             linked.append(text)
 
+    def leave(node: Node) -> None:
+        """Closes elements up to and including node."""
+        nonlocal at
+        while at is not node:
+            open_[at.tag] -= 1
+            at = at.parent
+        open_[node.tag] -= 1
+        at = node.parent
+
     place, size = 0, len(page)
     while place < size:
         m = _TAG.search(page, place)
@@ -136,18 +155,28 @@ def parse(page: str) -> Node:
         if closing:
             if name == "a":
                 in_link = 0
-            elif name in BLOCKS:
+            elif open_[name] > 0:
                 node = at
-                while node is not None and node.tag != name:
+                while node.tag != name:
                     node = node.parent
-                if node is not None and node is not root:
-                    end_run()
-                    at = node.parent
+                end_run()
+                leave(node)
+            elif name == "p":
+                end_run()  # an end without a start is an empty paragraph
             continue
         if name in HIDDEN:
             if not attributes.endswith("/"):
-                stop = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, place)
-                place = stop.end() if stop else size
+                stop = None if name in endless else re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, place)
+                if stop:
+                    place = stop.end()
+                else:
+                    endless.add(name)
+                    if name in RAW:
+                        body = _BODY.search(page, place)
+                        place = body.start() if body else size
+                    elif name == "title":
+                        after = page.find("<", place)
+                        place = after if after >= 0 else size
             continue
         if name == "a":
             in_link = 1
@@ -159,24 +188,28 @@ def parse(page: str) -> Node:
         elif name in BLOCKS:
             end_run()
             in_link = 0
-            if name in CLOSES_P or name in ("li", "dt", "dd", "tr", "td", "th"):
-                node = at
-                while node is not root and node.tag == "p":
-                    node = node.parent
-                at = node
+            if (name in CLOSES_P or name in ("li", "dt", "dd", "tr", "td", "th")) and at.tag == "p":
+                leave(at)
             if name in SAME:
                 node, stops = at, STOPS.get(name, ())
                 while node is not root and node.tag not in SAME[name] and node.tag not in stops and name != "p":
                     node = node.parent
                 while node is not root and node.tag in SAME[name]:
+                    leave(node)
+                    node = at
+            if name == "body" and open_["head"]:
+                node = at
+                while node.tag != "head":
                     node = node.parent
-                    at = node
-            if name in ("html", "hr"):
+                leave(node)
+            if name in ("html", "hr", "body"):
                 continue
-            hints, own = _hints(attributes) if attributes else (0, "")
             parent = at
-            at = Node(name, parent, hints, seen)
-            label[id(at)] = int(own) if own else label.get(id(parent), 0)
+            at = Node(name, parent, _tokens(attributes) if attributes else (), seen)
+            open_[name] += 1
+            if invented:
+                own = _mark(attributes)
+                label[id(at)] = label.get(id(parent), 0) if own is None else own
     end_run()
     return root
 
@@ -202,26 +235,69 @@ def flatten(root: Node) -> list[Node]:
     return nodes
 
 
-def features(nodes: list[Node]) -> list[list[float]]:
+class Odds(dict):
+    """Log-odds of attribute tokens, by their hashed place in a table."""
+
+    def __init__(self, table: np.ndarray):
+        super().__init__()
+        self.table = table
+
+    def __missing__(self, word: str) -> float:
+        found = float(self.table[zlib.crc32(word.encode()) % SLOTS])
+        if len(self) < 100_000:
+            self[word] = found
+        return found
+
+    def __reduce__(self):
+        return Odds, (self.table,)
+
+
+def token_odds(pages: list[list[Node]]) -> Odds:
+    """Each token's log-odds between the nodes with it that hold main text and those that hold other text only."""
+    counts = np.zeros((2, SLOTS))
+    for nodes in pages:
+        for n in nodes:
+            if n.chars:
+                for w in n.words:
+                    counts[n.label, zlib.crc32(w.encode()) % SLOTS] += 1
+    share = (counts[1].sum() + 1) / (counts.sum() + 2)
+    return Odds(np.log((counts[1] + PULL * share) / (counts[0] + PULL * (1 - share))) - math.log(share / (1 - share)))
+
+
+def features(nodes: list[Node], odds: Odds) -> list[list[float]]:
     total = max(1, nodes[0].chars)
-    above: dict[int, tuple[int, int]] = {}  # hints of ancestors, and their tags among TAGS, as bits
+    #: Of a node's ancestors and itself: tags among TAGS as bits, least, greatest and summed token log-odds, and the
+    #: nearest element with two paragraphs or more.
+    above: dict[int, tuple] = {}
     out = []
+    start = (0, 0.0, 0.0, 0.0, nodes[0])
     for n in nodes:
-        parent = n.parent
-        hints_above, tags_above = above[id(parent)] if parent else (0, 0)
-        bit = 1 << TAGS.index(n.tag) if n.tag in TAGS else 0
-        above[id(n)] = (hints_above | n.hints, tags_above | bit)
+        p = n.parent or n
+        g = p.parent or p
+        up = above[id(p)] if n.parent else start
+        bits, low, high, summed, around = up
+        own = [odds[w] for w in n.words]
+        o_low, o_high, o_sum = (min(own), max(own), sum(own)) if own else (0.0, 0.0, 0.0)
+        bit = _BIT.get(n.tag, 0)
+        if n.children:
+            above[id(n)] = (bits | bit, min(low, o_low), max(high, o_high), summed + o_sum, n if n.paragraphs > 1 or n.marks > 12 and n.linked * 3 < n.chars else around)
         chars = max(1, n.chars)
-        p = parent or n
-        row = [float(n.tag is None), float(n.tag in HEADINGS), float(p.tag in HEADINGS)]
-        row += [float(n.tag == t) for t in TAGS]
-        row += [float(tags_above >> k & 1) for k in range(len(TAGS))]
-        row += [float(n.hints >> k & 1) for k in range(len(HINTS))]
-        row += [float(hints_above >> k & 1) for k in range(len(HINTS))]
-        row += [
-            math.log1p(n.chars), n.linked / chars, 100 * n.marks / chars, math.log1p(n.links), math.log1p(n.tags), math.log1p(n.paragraphs), math.log1p(n.items),
-            n.chars / (n.tags + 1), n.chars / max(1, n.runs), n.chars / total, n.first / total, float(n.depth), float(n.place), float(len(p.children)), n.place / max(1, len(p.children)),
-            math.log1p(p.chars), p.linked / max(1, p.chars), n.chars / max(1, p.chars), 100 * p.marks / max(1, p.chars), math.log1p(p.paragraphs), math.log1p(p.items),
+        pc = max(1, p.chars)
+        kids = p.children
+        before = kids[n.place - 1] if n.parent and n.place else None
+        after = kids[n.place + 1] if n.parent and n.place + 1 < len(kids) else None
+        text = n.text
+        gc, ac = max(1, g.chars), max(1, around.chars)
+        row = [
+            _NUMBER.get(n.tag, -2.0), _NUMBER.get(p.tag, -2.0), _NUMBER.get(g.tag, -2.0), n.tag == "h1" or p.tag == "h1", bits & _SECTION > 0, bits & _APART > 0, bits & _TABLE > 0, bits & _ITEM > 0,
+            o_low, o_high, o_sum, low, high, summed,
+            n.chars, n.linked / chars, n.marks / chars, n.links, n.tags, n.paragraphs, n.items,
+            n.chars / (n.tags + 1), n.chars / max(1, n.runs), n.chars / total, n.first / total, n.depth, n.place, len(kids), n.place / max(1, len(kids)),
+            p.chars, p.linked / pc, n.chars / pc, p.marks / pc, p.paragraphs, p.items, g.chars, g.linked / gc, g.marks / gc, g.paragraphs,
+            around.chars, around.linked / ac, n.chars / ac, (n.first - around.first) / ac, around is p, around is nodes[0],
+            before.chars if before else -1.0, before.linked / max(1, before.chars) if before else -1.0, _NUMBER.get(before.tag, -2.0) if before else -3.0,
+            after.chars if after else -1.0, after.linked / max(1, after.chars) if after else -1.0, after is not None and after.tag == n.tag,
+            text[-1:] in _ENDS, _SIGNS.search(text) is not None if text and len(text) < 400 else False, "|" in text, text[:1].isupper(),
         ]
         out.append(row)
     return out
@@ -260,11 +336,17 @@ def decode(nodes: list[Node], odds: np.ndarray) -> list[bool]:
     return chosen
 
 
-def extract(pages: list[str], trees: boosting.Trees) -> list[list[str]]:
+@dataclass
+class Model:
+    trees: boosting.Trees
+    odds: Odds
+
+
+def extract(pages: list[str], model: Model) -> list[list[str]]:
     """The blocks of main text of each page, in page order."""
     trees_of = [flatten(parse(p)) for p in pages]
-    rows = [r for nodes in trees_of for r in features(nodes)]
-    odds = trees.log_odds(np.array(rows)) if rows else np.zeros(0)
+    rows = [r for nodes in trees_of for r in features(nodes, model.odds)]
+    odds = model.trees.log_odds(np.array(rows)) if rows else np.zeros(0)
     out, at = [], 0
     for nodes in trees_of:
         chosen = decode(nodes, odds[at : at + len(nodes)])
@@ -273,165 +355,62 @@ def extract(pages: list[str], trees: boosting.Trees) -> list[list[str]]:
     return out
 
 
-class _Maker:
-    """Invents pages: main text and surroundings in many layouts, with or without telling tags and classes."""
-
-    def __init__(self, seed: int):
-        self.r = random.Random(seed)
-
-    def words(self, lo: int, hi: int) -> str:
-        r = self.r
-        out = []
-        for _ in range(r.randint(lo, hi)):
-            w = "".join(r.choice(("ka", "lo", "mi", "ren", "tas", "vo", "ul", "en", "ri", "san", "do", "pe")) for _ in range(r.randint(1, 3)))
-            out.append(w + (r.choice((",", ".", ".", ";")) if r.random() < 0.12 else ""))
-        return " ".join(out)
-
-    def sentence(self, lo: int, hi: int) -> str:
-        return self.words(lo, hi).rstrip(",.;").capitalize() + "."
-
-    def el(self, tag: str, inner: str, kinds: str = "", own: int | None = None, often: float = 0.75) -> str:
-        r = self.r
-        attributes = ""
-        if kinds and r.random() < often:
-            word = r.choice(HINTS[kinds])
-            form = r.choice(("{w}", "{w}", "{w}-box", "site-{w}", "x1 {w}", "js-{w}__inner"))
-            attributes = f' {r.choice(("class", "class", "id"))}="{form.format(w=word)}"'
-        elif r.random() < 0.3:
-            attributes = f' class="{r.choice(("c1", "row", "col-8", "wrap", "container", "grid", "u-mt"))}"'
-        if own is not None:
-            attributes += f' data-y="{own}"'
-        return f"<{tag}{attributes}>{inner}</{tag}>"
-
-    def link(self, lo: int = 1, hi: int = 4) -> str:
-        return f'<a href="/{self.r.randint(1, 999)}">{self.words(lo, hi)}</a>'
-
-    def links(self, lo: int, hi: int) -> str:
-        r = self.r
-        items = [self.link() for _ in range(r.randint(lo, hi))]
-        return f"<ul>{''.join(f'<li>{x}</li>' for x in items)}</ul>" if r.random() < 0.75 else " | ".join(items)
-
-    def paragraph(self) -> str:
-        r = self.r
-        text = " ".join(self.sentence(4, 22) for _ in range(r.choice((1, 1, 2, 3, 4, 6, 9))))
-        if r.random() < 0.25:
-            text += " " + self.link(1, 3) + " " + self.sentence(3, 9)
-        if r.random() < 0.2:
-            text = f"<b>{self.sentence(2, 6)}</b>{r.choice(('', ' ', '<br>'))}" + text
-        return f"<p>{text}" + ("</p>" if r.random() < 0.85 else "")
-
-    def main(self) -> str:
-        r = self.r
-        parts = []
-        if r.random() < 0.85:
-            parts.append(f"<h1>{self.words(2, 12)}</h1>" if r.random() < 0.8 else f"<h2>{self.words(2, 9)}</h2>")
-        if r.random() < 0.25:  # very short pages, whose surroundings outweigh their text
-            return "".join(parts) + f"<p>{r.choice(('', '<b>'))}{self.sentence(1, 9)}{r.choice(('', '<br>', '</p>'))}"
-        for _ in range(r.choice((1, 1, 2, 3, 4, 6, 8, 14))):
-            k = r.random()
-            if k < 0.76:
-                parts.append(self.paragraph())
-            elif k < 0.82:
-                parts.append(f"<h{r.randint(2, 4)}>{self.words(1, 6)}</h{r.randint(2, 4)}>")
-            elif k < 0.88:
-                parts.append("<ul>" + "".join(f"<li>{self.sentence(2, 16)}</li>" for _ in range(r.randint(2, 6))) + "</ul>")
-            elif k < 0.91:
-                parts.append(f"<blockquote><p>{self.sentence(6, 30)}</p></blockquote>")
-            elif k < 0.94:
-                parts.append(f"<pre>{self.words(4, 30)}</pre>")
-            elif k < 0.97:
-                rows = "".join("<tr>" + "".join(f"<td>{self.words(1, 3)}</td>" for _ in range(3)) + "</tr>" for _ in range(r.randint(2, 5)))
-                parts.append(f"<table>{rows}</table>")
-            else:
-                parts.append(self.sentence(8, 40))
-            if r.random() < 0.08:
-                parts.append(self.el("div", r.choice((self.sentence(2, 12), self.link(2, 6))), r.choice(("advert", "social", "side")), 0, 1.0))
-        return "".join(parts)
-
-    def extra(self, kind: str) -> str:
-        r = self.r
-        if kind == "menu":
-            return self.el(r.choice(("nav", "nav", "div", "ul")), self.links(3, 12), "menu", 0)
-        if kind == "advert":
-            return self.el(r.choice(("div", "div", "aside", "section")), r.choice((self.sentence(2, 14), self.link(2, 8), f"<p>{self.sentence(3, 16)}</p>{self.link(1, 3)}")), "advert", 0, 1.0)
-        if kind == "foot":
-            inner = r.choice((f"&copy; {self.words(1, 3)} &middot; {self.sentence(3, 12)}", self.links(2, 8), f"<p>{self.sentence(3, 14)}</p>" + self.links(2, 6), f"<p>&copy; 2020 {self.words(2, 20)}</p>"))
-            return self.el("footer", inner, "foot", 0, 0.3) if r.random() < 0.75 else self.el("div", inner, "foot", 0, 1.0)
-        if kind == "head":
-            inner = r.choice((self.link(1, 2), f"<p>{self.words(2, 6)}</p>", self.links(2, 6), f"<div>{self.words(1, 3)}</div>" + self.links(3, 7)))
-            return self.el("header", inner, "head", 0, 0.4) if r.random() < 0.7 else self.el("div", inner, "head", 0, 1.0)
-        if kind == "side":
-            inner = r.choice((f"<h3>{self.words(1, 3)}</h3>" + self.links(3, 9), "".join(f"<div>{self.link(3, 9)}<p>{self.sentence(3, 14)}</p></div>" for _ in range(r.randint(2, 5))), f"<h4>{self.words(1, 4)}</h4><p>{self.sentence(4, 25)}</p>"))
-            return self.el("aside", inner, "side", 0, 0.5) if r.random() < 0.55 else self.el("div", inner, "side", 0, 1.0)
-        if kind == "notice":
-            return self.el(r.choice(("div", "section", "p")), r.choice((f"{self.sentence(5, 25)} {self.link(1, 2)}", f"<p>{self.sentence(5, 30)}</p><button>{self.words(1, 1)}</button>")), "notice", 0, 1.0)
-        if kind == "form":
-            return self.el("form", f"<label>{self.words(1, 3)}</label><input name=q><button>{self.words(1, 2)}</button>" + (f"<p>{self.sentence(4, 14)}</p>" if r.random() < 0.4 else ""), r.choice(("notice", "comment", "")), 0, 0.5)
-        if kind == "social":
-            return self.el("div", r.choice((self.links(2, 6), self.words(1, 5), f"<span>{self.words(1, 4)}</span>")), "social", 0, 1.0)
-        comments = "".join(self.el(r.choice(("div", "li", "article")), f"<b>{self.words(1, 2)}</b> <p>{self.sentence(3, 30)}</p>" + (self.link(1, 1) if r.random() < 0.5 else ""), "comment", 0, 0.6) for _ in range(r.randint(1, 7)))
-        return self.el(r.choice(("section", "div", "div", "ol")), f"<h3>{self.words(1, 2)}</h3>" + comments, "comment", 0, 1.0)
-
-    def page(self) -> str:
-        r = self.r
-        body = self.main()
-        inside = [k for k, p in (("social", 0.2), ("advert", 0.15), ("comment", 0.06), ("side", 0.08)) if r.random() < p]
-        body += "".join(self.extra(k) for k in inside)
-        wrap = r.random()
-        if wrap < 0.5:
-            core = self.el("article", body, "main", 1, 0.3)
-        elif wrap < 0.65:
-            core = self.el("main", body, "main", 1, 0.3)
-        elif wrap < 0.9:
-            core = self.el(r.choice(("div", "section")), body, "main", 1, 0.85)
-        else:
-            core = self.el("div", body, "", 1)
-        before = [k for k, p in (("notice", 0.25), ("head", 0.45), ("menu", 0.75), ("advert", 0.4), ("form", 0.15), ("side", 0.12)) if r.random() < p]
-        after = [k for k, p in (("social", 0.25), ("comment", 0.4), ("side", 0.4), ("advert", 0.25), ("form", 0.2), ("foot", 0.85), ("notice", 0.12)) if r.random() < p]
-        if r.random() < 0.3:
-            r.shuffle(before)
-        content = core
-        if r.random() < 0.3:
-            content = self.el("div", content, "main", None, 0.3)
-        page = "".join(self.extra(k) for k in before) + content + "".join(self.extra(k) for k in after)
-        if r.random() < 0.35:
-            page = self.el("div", page, "", None)
-        return f"<!DOCTYPE html><html><head><title>{self.words(2, 6)}</title><style>p{{}}</style></head><body>{page}</body></html>"
-
-
-_FITTED: dict[tuple[int, int], boosting.Trees] = {}
-
-
-def fit(pages: int = TRAIN_PAGES, seed: int = SEED) -> boosting.Trees:
-    """Trees fitted on invented pages; the same for the same arguments."""
+_FITTED: dict[tuple[int, int], Model] = {}
+
+
+def fit(pages: int = TRAIN_PAGES, seed: int = SEED) -> Model:
+    """Fitted on invented pages; the same for the same arguments.
+
+    The trees see each half of the pages with the token log-odds of the other half, so that they learn how far such
+    log-odds can be trusted on pages that they were not made from.
+    """
     if (pages, seed) not in _FITTED:
-        maker = _Maker(seed)
+        maker = html_pages.Maker(seed)
+        made = [flatten(parse(maker.page(), invented=True)) for _ in range(pages)]
+        halves = made[::2], made[1::2]
         rows, labels = [], []
-        for _ in range(pages):
-            nodes = flatten(parse(maker.page()))
-            rows += features(nodes)
-            labels += [n.label for n in nodes]
-        _FITTED[pages, seed] = boosting.fit(np.array(rows), np.array(labels, float))
+        for own, other in (halves, halves[::-1]):
+            odds = token_odds(other)
+            for nodes in own:
+                rows += features(nodes, odds)
+                labels += [n.label for n in nodes]
+        _FITTED[pages, seed] = Model(boosting.fit(np.array(rows), np.array(labels, float), trees=60, depth=5, share=0.3), token_odds(made))
     return _FITTED[pages, seed]
 
 
+def _groups(pages: list[str]) -> Iterator[list[str]]:
+    """Some pages at a time, few if they are long, as each node has a row of features."""
+    held, size = [], 0
+    for page in pages:
+        held.append(page)
+        size += len(page)
+        if len(held) >= 50 or size > 400_000:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _extractor(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pages = [t.decode("utf-8", "replace") for t in texts(batch.column("html"))]
-            blocks = [b for i in range(0, len(pages), 50) for b in extract(pages[i : i + 50], shared.value)]
+            blocks = [b for group in _groups(pages) for b in extract(group, shared.value)]
             found = [" ".join(b) for b in blocks]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64()), pa.array(blocks, pa.list_(pa.string()))], names=["page_id", "url", "text", "n_chars", "blocks"])
 
     return run
 
 
-def main_text(pages: DataFrame, trees: boosting.Trees | None = None) -> DataFrame:
+def main_text(pages: DataFrame, model: Model | None = None) -> DataFrame:
     """One row per row of pages: page_id, url, text, n_chars, blocks (the parts of text).
 
-    Null html is an empty page; a page without main text has an empty one. Broken markup is read as far as it goes.
-    Rows that repeat are read each for itself. Other columns are ignored. Empty table: no rows.
+    Null html is an empty page; a page without main text has an empty one. Broken markup is read as far as it goes (see
+    parse() for hidden elements, closed by themselves or not at all). A very long page is read whole, in memory of some
+    times its size. Where labels are equally likely a node holds no main text; of children that tie for the least bad
+    the first is taken. Rows that repeat are read each for itself. Other columns, case twins included, are ignored.
+    Empty table: no rows.
     """
     rows = pick(pages, "page_id", "url", "html").select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    shared = pages.sparkSession.sparkContext.broadcast(trees or fit())
+    shared = pages.sparkSession.sparkContext.broadcast(model or fit())
     return rows.mapInArrow(_extractor(shared), "page_id long, url string, text string, n_chars long, blocks array<string>")
