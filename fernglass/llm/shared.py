@@ -6,6 +6,7 @@ other characters; ``bytes.split()`` cuts at exactly these, and ``bytes.lower()``
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -125,6 +126,24 @@ def texts(column: pa.Array) -> Iterator[bytes]:
         yield b"" if nulls is not None and nulls[i] else bytes(view[offsets[i] : offsets[i + 1]])
 
 
+#: Bytes of a text that are cut into words at a time.
+WORDS_OF = 4 << 20
+_CUT = re.compile(rb"[ \t-\r]")
+
+
+def words_of(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text in slices, so that a very long one is never a list of all its words."""
+    if len(text) <= WORDS_OF:
+        yield text.split()
+        return
+    at = 0
+    while at < len(text):
+        cut = _CUT.search(text, at + WORDS_OF)
+        end = cut.start() if cut else len(text)
+        yield text[at:end].split()
+        at = end
+
+
 _IS_WHITE = np.zeros(256, bool)
 _IS_WHITE[list(WHITE)] = True
 

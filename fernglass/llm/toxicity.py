@@ -5,9 +5,9 @@ Dirichlet priors: each prefix of the word is the prior of the next longer one, a
 that unseen forms of a known stem have its score. It leaves its prior's score only by what exceeds a multiple of its
 standard error, so that chance words have none. A text is scanned once (Ruzzo and Tompa's algorithm): less a drift, its scores have disjoint
 maximal segments. The best one's score S follows an extreme-value law in clean texts of n words,
-P(S >= x) = 1 - exp(-K n exp(-lambda x)); lambda is 1, as the scores are log-odds, and K is the most likely one for
-clean labelled texts. A text's evidence is the sum over its significant segments of -ln P, and a logistic curve takes
-it to a probability. Counts come from one part of the labelled rows and the calibration from another.
+P(S >= x) = 1 - exp(-K n exp(-lambda x)); lambda and K are the most likely ones for clean labelled texts (PULL texts of
+a mean score of 1 pull lambda to 1, its value for plain log-odds). A text's evidence is the sum over its significant segments of -ln P, and a logistic curve takes
+its root, which grows like a normal deviate, to a probability. Counts come from one part of the labelled rows and the calibration from another.
 """
 
 from __future__ import annotations
@@ -17,18 +17,19 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fernglass.llm.shared import fold, logistic, pick, small_batches, texts
+from fernglass.llm.shared import discard, fold, logistic, pick, small_batches, stash, texts, words_of
 
 #: Labelled rows of each class that are learned from, about: all of them, or as many of the least hashes of the id.
 SAMPLE_DOCS = 20_000
-#: Entries of the lexicon (words and prefixes): those with the most toxic, then most other, occurrences.
-LEXICON = 200_000
+#: Texts that stand for lambda = 1 in its fit, and where it is looked for.
+PULL, LAMBDAS = 5.0, (0.02, 50.0)
 PREFIXES = range(2, 10)
 PRIOR = 2.0
 #: Bound of a prior's share: the same occurrences stand behind a word and its prefixes, and must not multiply.
@@ -40,7 +41,7 @@ DRIFT = 0.7
 #: Texts of fewer words count as this long in the extreme-value law.
 SHORTEST = 50
 #: A segment is significant if a clean text has one as good with at most this chance.
-CHANCE = 0.1
+CHANCE = 0.01
 THRESHOLD = 0.3
 _TRIM = re.compile(r"^\W+|\W+$")
 _KEPT = 200_000
@@ -77,7 +78,7 @@ class Model:
         return sum(t for _, _, s in found if (t := self.tail(s, n)) >= -math.log(CHANCE))
 
     def probability(self, evidence: float) -> float:
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.slope * evidence + self.base))))
+        return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.slope * math.sqrt(evidence) + self.base))))
 
 
 class Scores(dict):
@@ -136,14 +137,17 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for label, text in zip(batch.column("toxic").to_pylist(), texts(batch.column("text"))):
-            counts[label].update(set(text.lower().split()))
+            counts[label].update(set(chain.from_iterable(words_of(text.lower()))))
         if len(counts[0]) + len(counts[1]) > _FLUSH:
             yield from out()
     yield from out()
 
 
 def _log_odds(rows: list[tuple[str, int, int]], total1: int, total0: int) -> tuple[dict, dict]:
-    """Scores of words and prefixes, each smoothed towards its longest listed prefix."""
+    """Scores of words and prefixes, each smoothed towards its longest prefix.
+
+    Left out are those that do not depart from that prefix's score: looking them up finds it all the same.
+    """
     rate = total1 / max(total0, 1)
     prefixes: dict[str, float] = {}
 
@@ -153,39 +157,88 @@ def _log_odds(rows: list[tuple[str, int, int]], total1: int, total0: int) -> tup
                 return s
         return 0.0
 
-    def smoothed(text: str, n1: int, n0: int) -> float:
+    def smoothed(text: str, n1: int, n0: int, found: dict[str, float]) -> None:
         stem = prior(text)
         q = min(1 - LEAST, max(LEAST, 1 / (1 + math.exp(-stem))))
         off = math.log((n1 + PRIOR * q) / (n0 * rate + PRIOR * (1 - q))) - stem
         error = ERRORS * math.sqrt(1 / (n1 + 1) + 1 / (n0 * rate + 1))
-        return stem + math.copysign(max(0.0, abs(off) - error), off)
+        if abs(off) > error:
+            found[text] = stem + math.copysign(abs(off) - error, off)
 
     words: dict[str, float] = {}
     for key, n1, n0 in sorted((r for r in rows if r[0][0] == "p"), key=lambda r: len(r[0])):
-        prefixes[key[1:]] = smoothed(key[1:], n1, n0)
+        smoothed(key[1:], n1, n0, prefixes)
     for key, n1, n0 in rows:
         if key[0] == "w":
-            words[key[1:]] = smoothed(key[1:], n1, n0)
+            smoothed(key[1:], n1, n0, words)
+    return words, prefixes
+
+
+def _departing(total1: int, total0: int):
+    """Of the keys with the same first two characters, which hold each other's prefixes: those with a score of their own."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = list(zip(*(table.column(c).to_pylist() for c in ("key", "n1", "n0"))))
+        words, prefixes = _log_odds(rows, total1, total0)
+        return pa.table({"key": pa.array(["w" + w for w in words] + ["p" + p for p in prefixes], pa.string()), "score": pa.array([*words.values(), *prefixes.values()], pa.float64())})
+
+    return run
+
+
+def lexicon(counts: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
+    """Scores of words and of prefixes, of counts (key, n1, n0) of all words and prefixes of the labelled sample."""
+    counts = stash(counts, "toxic-counts")
+    total = counts.where(F.substring("key", 1, 1) == "w").agg(F.coalesce(F.sum("n1"), F.lit(0)).alias("n1"), F.coalesce(F.sum("n0"), F.lit(0)).alias("n0")).first()
+    words: dict[str, float] = {}
+    prefixes: dict[str, float] = {}
+    if total["n1"] and total["n0"]:
+        found = counts.groupBy(F.substring("key", 2, PREFIXES[0]).alias("start")).applyInArrow(_departing(total["n1"], total["n0"]), "key string, score double").toArrow()
+        for key, score_ in zip(found.column("key").to_pylist(), found.column("score").to_pylist()):
+            (words if key[0] == "w" else prefixes)[key[1:]] = score_
+    discard(counts)
     return words, prefixes
 
 
+def extreme_law(clean: list[tuple[int, float]]) -> tuple[float, float]:
+    """The most likely lambda and K of clean texts' (words, best score; 0 where no segment is above 0)."""
+    n = np.array([max(words, SHORTEST) for words, _ in clean], float)
+    s = np.array([best for _, best in clean], float)
+    some = s > 0
+    if not len(n):
+        return 1.0, 1.0
+    m, total = some.sum() + PULL, s[some].sum() + PULL
+
+    def likely(lam: float) -> float:
+        return m * math.log(lam) - lam * total - some.sum() * math.log((n * np.exp(-lam * s)).sum())
+
+    lo, hi = map(math.log, LAMBDAS)
+    for _ in range(80):  # by thirds of the logarithm: the likelihood rises to its maximum and falls
+        a, b = lo + (hi - lo) / 3, hi - (hi - lo) / 3
+        lo, hi = (a, hi) if likely(math.exp(a)) < likely(math.exp(b)) else (lo, b)
+    lam = math.exp((lo + hi) / 2)
+    return lam, float((some.sum() + 0.5) / (n * np.exp(-lam * s)).sum())
+
+
 def _best(texts_: Iterator[bytes], model: Model) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
     """Words and segments of each text."""
     scores = Scores(model)
     for text in texts_:
-        words = text.split()
-        own = np.fromiter(map(scores.__getitem__, words), np.float64, len(words))
         times: Counter = Counter()
-        for i in np.flatnonzero(own > 0).tolist():
-            times[words[i]] += 1
-            own[i] = (own[i] + DRIFT) / times[words[i]] - DRIFT
-        yield len(words), segments(own)
-
-
-def _extremes(model: Model):
+        parts = []
+        for words in words_of(text):
+            own = np.fromiter(map(scores.__getitem__, words), np.float64, len(words))
+            for i in np.flatnonzero(own > 0).tolist():
+                times[words[i]] += 1
+                own[i] = (own[i] + DRIFT) / times[words[i]] - DRIFT
+            parts.append(own)
+        own = np.concatenate(parts) if len(parts) != 1 else parts[0]
+        yield len(own), segments(own)
+
+
+def _extremes(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = list(_best(texts(batch.column("text")), model))
+            found = list(_best(texts(batch.column("text")), shared.value))
             scores = pa.array([[s for _, _, s in parts] for _, parts in found], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array([n for n, _ in found], pa.int64()), scores], names=["toxic", "n", "scores"])
 
@@ -204,10 +257,11 @@ def labelled(docs: DataFrame, labels: DataFrame, folds: tuple[int, ...], sample_
     for label, n in sizes.items():
         if n > sample_docs:
             marks = marks.where((F.col("toxic") != label) | (share < sample_docs / n))
-    return pick(docs, "doc_id", "text").join(F.broadcast(marks) if sum(min(n, sample_docs) for n in sizes.values()) <= 4 * sample_docs else marks, "doc_id").select("text", "toxic")
+    # Two classes of about sample_docs ids at most, whatever the table of labels.
+    return pick(docs, "doc_id", "text").join(F.broadcast(marks), "doc_id").select("text", "toxic")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, lexicon: int = LEXICON) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     """Learns from labelled rows with crc32(doc_id) mod 4 of 0 and 1 (counts) and 3 (calibration), never from 2.
 
     Without rows of both classes the model knows nothing: it gives every text the share of toxic labels, 0.0025 if
@@ -215,22 +269,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, lexi
     """
     rows = labelled(docs, labels, (0, 1), sample_docs)
     counts = rows.mapInArrow(_word_counts, "key string, n1 long, n0 long").groupBy("key").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-    counts = counts.where("n1 >= 2 or n1 + n0 >= 10")
-    best = [tuple(r) for r in counts.orderBy(F.desc("n1"), F.desc("n0"), "key").limit(lexicon).collect()]
-    total1, total0 = (sum(r[i] for r in best if r[0][0] == "w") for i in (1, 2))
     model = Model()
-    if total1 and total0:
-        model.words, model.prefixes = _log_odds(best, total1, total0)
-    found = labelled(docs, labels, (3,), sample_docs).mapInArrow(_extremes(model), "toxic int, n long, scores array<double>").collect()
+    model.words, model.prefixes = lexicon(counts)
+    found = labelled(docs, labels, (3,), sample_docs).mapInArrow(_extremes(docs.sparkSession.sparkContext.broadcast(model)), "toxic int, n long, scores array<double>").collect()
     y = np.array([r["toxic"] for r in found], float)
     if not len(y):
         return model
     if not 0 < y.sum() < len(y):
         model.slope, model.base = 0.0, math.log((y.sum() + 0.01) / (len(y) - y.sum() + 0.01))
         return model
-    clean = [(max(r["n"], SHORTEST), max(r["scores"], default=0.0)) for r in found if not r["toxic"]]
-    model.k = len(clean) / sum(n * math.exp(-model.lam * s) for n, s in clean)
-    x = np.array([model.evidence([(0, 0, s) for s in r["scores"]], r["n"]) for r in found])
+    model.lam, model.k = extreme_law([(r["n"], max(r["scores"], default=0.0)) for r in found if not r["toxic"]])
+    x = np.sqrt([model.evidence([(0, 0, s) for s in r["scores"]], r["n"]) for r in found])
     model.slope, model.base = logistic(x, y)
     return model
 
@@ -258,8 +307,9 @@ def _scorer(shared):
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score, predicted, n_words, segments.
 
-    segments: the passages (word positions) whose like a clean text of this length has with a chance of CHANCE at most. A null or empty
-    text has no words and the score of a text without evidence. Rows that repeat are scored each for itself. Other
+    segments: the passages (word positions) whose like a clean text of this length has with a chance of CHANCE at most. A
+    null or empty text has no words and the score of a text without evidence. Very long texts are scanned whole. Of
+    segments that tie, the shortest is the maximal one; a score of exactly THRESHOLD is predicted toxic. Rows that repeat are scored each for itself. Other
     columns of docs are ignored. Empty table: no rows.
     """
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), (fold(F.col("doc_id"), 4) == 2).alias("held_out"))

@@ -245,3 +245,139 @@ def test_counts_are_independent_of_dealing(frame, tongues):
         got.append({bytes(r["word"]): r["n"] for r in hmm_lm.word_counts(docs).collect()})
     assert got[0] == got[1]
     assert defaultdict(int, got[0])[b""] == len(rows)
+
+
+def test_languages_of_few_texts_and_with_marks(frame):
+    """A language with a hundredth of the rows keeps its n-grams; combining marks are part of words."""
+    rows = [(i, prose("en", 60, i), "en", "s") for i in range(400)] + [(10_000 + i, prose("de", 25, i), "de", "s") for i in range(12)]
+    hindi = ["नदी शहर के ऊपर की पहाड़ियों से निकलती है", "वसंत में पानी ऊँचा होता है", "किसान अब भी खेती करते हैं", "पुराना पुल किसने बनाया था"]
+    rows += [(20_000 + i, hindi[i % 4], "hi", "s") for i in range(12)]
+    docs = frame(rows)
+    model = langid.fit(docs)
+    got = {r.doc_id: r for r in langid.identify(docs, model).collect()}
+    assert all(got[i].lang_pred == lang for i, _, lang, _ in rows)
+    assert langid.letters("की".encode()).tolist() == [0x915, 0x940] and langid.letters("\u0940 1".encode()).tolist() == []
+
+
+def test_rejected_texts(frame):
+    rows = [(i, prose("en", 60, i), "en", "s") for i in range(300)] + [(1000 + i, "Ωραία μέρα σήμερα " * 3, None, "s") for i in range(5)] + [(2000, "qzx vvkq jjxq zzqw xkcd qqqq", None, "s"), (2001, "", None, "s")]
+    docs = frame(rows)
+    model = langid.fit(docs)
+    got = {r.doc_id: r for r in langid.identify(docs, model).collect()}
+    assert all(got[i].rejected for i in (1000, 1001, 2000, 2001))
+    assert sum(got[i].rejected for i in range(300)) <= 3
+    plain = {i: langid.identify_texts(model, [(t or "").encode()])[0] for i, t, _, _ in rows}
+    for i, (lang, score, entropy, _, _) in plain.items():
+        assert got[i].lang_pred == lang and abs(got[i].score - score) < 1e-9 and got[i].rejected == (lang == "und" or entropy > model.limit)
+
+
+def test_languages_by_plain_models(frame):
+    """Predictions are those of the lowest cross-entropy by the definition, on models of all labelled texts outside fold 2 and 3."""
+    rows = [(i, prose(list(SYLLABLES)[i % 3], 6, i), list(SYLLABLES)[i % 3], "s") for i in range(60)]
+    docs = frame(rows)
+    model = langid.fit(docs)
+    counts = {lang: Counter() for lang in SYLLABLES}
+    for i, t, lang, _ in rows:
+        if fold(i, 4) in (0, 1):
+            s = " " * (langid.ORDER - 1) + t + " "
+            counts[lang].update(s[k : k + langid.ORDER] for k in range(len(s) - langid.ORDER + 1))
+    alphabet = len({g[-1] for c in counts.values() for g in c}) + 1
+    models = {lang: plain_kneser_ney(c, langid.ORDER, alphabet) for lang, c in counts.items()}
+    got = {r.doc_id: r for r in langid.identify(docs, model).collect()}
+    for i, t, _, _ in rows[:6]:
+        s = " " * (langid.ORDER - 1) + t + " "
+        h = {lang: -sum(math.log(p(s[k : k + langid.ORDER - 1], s[k + langid.ORDER - 1])) for k in range(len(t) + 1)) / (len(t) + 1) for lang, p in models.items()}
+        best = min(sorted(h), key=h.get)
+        assert got[i].lang_pred == best and abs(got[i].entropy - h[best]) < 1e-5
+
+
+def test_long_texts_are_scored_in_slices(monkeypatch):
+    rows = {lang: {} for lang in SYLLABLES}
+    for lang in SYLLABLES:
+        s = " " * (langid.ORDER - 1) + prose(lang, 300, 1) + " "
+        rows[lang] = dict(Counter(s[k : k + langid.ORDER] for k in range(len(s) - langid.ORDER + 1)))
+    model = langid.kneser_ney(rows)
+    texts = [(prose("de", 400, 2) + " Ñandú ☃☃ " + prose("es", 90, 3)).encode(), b"a", prose("en", 50, 4).encode()]
+    want = langid.identify_texts(model, texts)
+    for chunk, folded in ((100, 37), (7, 3)):
+        monkeypatch.setattr(langid, "CHUNK", chunk)
+        monkeypatch.setattr(langid, "FOLDED", folded)
+        for a, b in zip(langid.identify_texts(model, texts), want):
+            assert a[0] == b[0] and a[4] == b[4] and abs(a[2] - b[2]) < 1e-5
+
+
+def plain_scores(rows, folds):
+    """Log-odds of words by the definition, every prefix the prior of the next, nothing left out."""
+    counts = defaultdict(lambda: [0, 0])
+    totals = [0, 0]
+    for text, label in rows:
+        for word in filter(None, (toxicity._TRIM.sub("", w) for w in set(text.lower().split()))):  # forms with other marks count each
+            counts["w" + word][label] += 1
+            totals[label] += 1
+            for k in toxicity.PREFIXES:
+                if k < len(word):
+                    counts["p" + word[:k]][label] += 1
+    rate = totals[1] / totals[0]
+
+    def smoothed(key, stem):
+        n0, n1 = counts[key]
+        q = min(1 - toxicity.LEAST, max(toxicity.LEAST, 1 / (1 + math.exp(-stem))))
+        off = math.log((n1 + toxicity.PRIOR * q) / (n0 * rate + toxicity.PRIOR * (1 - q))) - stem
+        return stem + math.copysign(max(0.0, abs(off) - toxicity.ERRORS * math.sqrt(1 / (n1 + 1) + 1 / (n0 * rate + 1))), off)
+
+    def score(word):
+        stem = 0.0
+        for k in toxicity.PREFIXES:
+            if k < len(word) and "p" + word[:k] in counts:
+                stem = smoothed("p" + word[:k], stem)
+        return smoothed("w" + word, stem) if "w" + word in counts else stem
+
+    return score
+
+
+def test_log_odds_against_definition(spark, frame):
+    rows, marks = labelled_corpus()
+    marks = [m for m in marks if m[0] is not None and m[2] is not None]
+    docs, labels = frame(rows), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    toxic = {}
+    for i, _, y in marks:
+        toxic[i] = max(toxic.get(i, 0), int(y > 0))
+    learnt = [(t or "", toxic[i]) for i, t, _, _ in rows if i in toxic and fold(i, 4) in (0, 1)]
+    score = plain_scores(learnt, (0, 1))
+    words = {toxicity._TRIM.sub("", w.lower()) for t, _ in learnt for w in t.split()} | {"foulwordly", "vile", "nast", "c1", "unseen", "foulwordxx"}
+    for w in words - {""}:
+        assert abs(model.score(w) - score(w)) < 1e-9, w
+    assert len(model.words) + len(model.prefixes) < len(words)  # those that do not depart are not sent
+    clean = []
+    for text, label in [(t or "", toxic[i]) for i, t, _, _ in rows if i in toxic and fold(i, 4) == 3]:
+        n, found = next(toxicity._best([text.encode()], model))
+        if not label:
+            clean.append((n, max((s for _, _, s in found), default=0.0)))
+    assert np.allclose(toxicity.extreme_law(clean), (model.lam, model.k))
+
+
+def test_extreme_law_recovers_its_parameters():
+    r = np.random.default_rng(3)
+    for lam, k in ((0.7, 0.004), (1.0, 0.02), (2.0, 0.001)):
+        n = r.integers(50, 400, 20_000)
+        best = -(np.log(-np.log(r.random(len(n)))) - np.log(k * n)) / lam
+        got = toxicity.extreme_law(list(zip(n.tolist(), np.maximum(0, best).tolist())))
+        assert abs(got[0] / lam - 1) < 0.1 and abs(got[1] / k - 1) < 0.1
+    grid = [(60, 0.0), (80, 1.2), (300, 0.4), (90, 2.5)]
+    lam, kk = toxicity.extreme_law(grid)
+
+    def likely(x):
+        z = sum(n * math.exp(-x * s) for n, s in grid)
+        return (3 + toxicity.PULL) * math.log(x) - x * (4.1 + toxicity.PULL) - 3 * math.log(z)
+
+    assert all(likely(lam) >= likely(x / 100) - 1e-9 for x in range(5, 2000))
+    assert toxicity.extreme_law([]) == (1.0, 1.0) and toxicity.extreme_law([(10, 0.0)] * 5)[1] > 0
+
+
+def test_words_in_slices(monkeypatch):
+    from fernglass.llm import shared
+
+    monkeypatch.setattr(shared, "WORDS_OF", 11)
+    for text in (b"", b"  a b\tccccccccccccccccccccc d\n\n", b"x" * 50, b"one two three four five six seven"):
+        assert [w for part in shared.words_of(text) for w in part] == text.split()
