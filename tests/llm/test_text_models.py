@@ -127,6 +127,70 @@ def test_expected_counts_against_enumeration():
     got = hmm_lm.expected(h, hmm_lm.Packed(sequences), m, np.ones(len(sequences)))
     for a, b in zip(got, (starts, moves, emits)):
         assert np.allclose(a, b)
+    assert abs(got[3] - sum(hmm_lm.forward(h, hmm_lm.Packed(sequences))[0])) < 1e-9
+
+
+def test_blocks_of_a_very_long_text(monkeypatch):
+    r = np.random.default_rng(2)
+    k, m = 4, 9
+    h = hmm_lm.Hmm(r.dirichlet(np.ones(k)), r.dirichlet(np.ones(k), k), r.dirichlet(np.ones(m), k).T)
+    for n in (1, 7, 8, 50):
+        s = r.integers(0, m, n)
+        want = hmm_lm.expected(h, hmm_lm.Packed([s]), m, np.ones(1))
+        for block in (1, 4, 7, 1000):
+            monkeypatch.setattr(hmm_lm, "BLOCK", block)
+            for a, b in zip(hmm_lm.expected_in_blocks(h, s, m), want):
+                assert np.allclose(a, b)
+
+
+def test_training_is_independent_of_lots(frame, tongues, monkeypatch):
+    """Whole texts are trained on, however they are gathered: one pass gives the same model."""
+    docs = hmm_lm.pick(frame([r for r in tongues if r[0] != 504]), "doc_id", "text")
+    v = hmm_lm.vocabulary(hmm_lm.word_counts(docs))
+    h = hmm_lm.cluster([hmm_lm.symbols_in(v, prose(lang, 200, 1).encode()).astype(np.int64) for lang in SYLLABLES], hmm_lm.background(v), 3)
+    found = []
+    for gather, long, huge in ((1_000_000, 1_500, 1_000_000), (50, 30, 40), (10, 5, 12)):
+        monkeypatch.setattr(hmm_lm, "GATHER", gather)
+        monkeypatch.setattr(hmm_lm, "LONG", long)
+        monkeypatch.setattr(hmm_lm, "HUGE", huge)
+        monkeypatch.setattr(hmm_lm, "BLOCK", 13)
+        own, ll = hmm_lm.baum_welch(docs, v, h)
+        found.append((own, ll))
+    for own, ll in found[1:]:
+        assert abs(ll - found[0][1]) < 1e-4
+        assert np.allclose(own.move, found[0][0].move, atol=1e-3) and np.allclose(own.start, found[0][0].start, atol=1e-3)
+
+
+def test_scores_against_plain_recursion(frame, tongues, monkeypatch):
+    """Words, classes, rare words and the recursion put together, by a plain walk over each text."""
+    monkeypatch.setattr(hmm_lm, "FREQUENT", 25)
+    monkeypatch.setattr(hmm_lm, "TABLE", 40)
+    monkeypatch.setattr(hmm_lm, "GATHER", 500)
+    monkeypatch.setattr(hmm_lm, "LONG", 30)
+    rows = [r for r in tongues if r[0] != 504]
+    docs = frame(rows)
+    part = hmm_lm.fold(hmm_lm.F.col("doc_id"), 7)
+    model = hmm_lm.train(hmm_lm.pick(docs, "doc_id", "text").where(part != 2), states=3)
+    assert len(model.likelihoods) == 2 and model.likelihoods[1] > model.likelihoods[0]
+    counts = Counter(w for i, t, _, _ in rows if fold(i, 7) != 2 for w in [*(t or "").encode().lower().split(), b""])
+    order = sorted(counts, key=lambda w: (-counts[w], w))[: model.vocabulary.frequent]
+    symbol = {w: k for k, w in enumerate(order)}
+    klass = lambda w: zlib.crc32(w[-hmm_lm.TAIL :]) % hmm_lm.CLASSES
+    tokens_of, words_of = Counter(), Counter()
+    for w, n in counts.items():
+        if w not in symbol:
+            tokens_of[klass(w)] += n
+            words_of[klass(w)] += 1
+    h = model.hmm
+    for r in hmm_lm.score(docs, model, part == 2).collect():
+        text = next(t for i, t, _, _ in rows if i == r.doc_id)
+        alpha, log = None, 0.0
+        for w in [*(text or "").encode().lower().split(), b""]:
+            e = h.emit[symbol[w]] if w in symbol else h.emit[len(symbol) + klass(w)] * (counts[w] + 1) / (tokens_of[klass(w)] + words_of[klass(w)] + 1)
+            alpha = h.start * e if alpha is None else (alpha @ h.move) * e
+            log += math.log10(alpha.sum())
+            alpha = alpha / alpha.sum()
+        assert abs(r.score - log) < 1e-6 * max(1, abs(log)), r.doc_id
 
 
 def test_language_model(frame, tongues, monkeypatch):
