@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fernglass.operators.storage import written
+
 
 def complete(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """The inner join on keys, and the left rows that it would lose; a caller stops if there are any."""
@@ -106,10 +108,10 @@ def resolve_paths(nodes: DataFrame, most: int = 64) -> DataFrame:
     rows = nodes.select("id", F.col("parent").alias("up"), F.col("name").alias("path"))
     for _ in range(max(1, most.bit_length())):
         rows = _doubled(rows)
-    rows = _written(rows)
+    rows = written(rows, "paths")
     before, left = None, rows.where("up is not null").count()
     while left and left != before:
-        rows = _written(_doubled(rows))
+        rows = written(_doubled(rows), "paths")
         before, left = left, rows.where("up is not null").count()
     return rows.select("id", F.when(F.col("up").isNull(), F.col("path")).alias("path"))
 
@@ -117,8 +119,3 @@ def resolve_paths(nodes: DataFrame, most: int = 64) -> DataFrame:
 def _doubled(rows: DataFrame) -> DataFrame:
     above = rows.select(F.col("id").alias("up"), F.col("up").alias("_up"), F.col("path").alias("_path"))
     return rows.join(above, "up", "left").select("id", F.col("_up").alias("up"), F.when(F.col("_path").isNull(), F.col("path")).otherwise(F.concat_ws("/", "_path", "path")).alias("path"))
-
-
-def _written(rows: DataFrame) -> DataFrame:
-    """rows with their lineage ended, in the checkpoint folder if there is one."""
-    return rows.checkpoint() if rows.sparkSession.sparkContext.getCheckpointDir() else rows.localCheckpoint()

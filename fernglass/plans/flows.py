@@ -24,13 +24,18 @@ def src_05(spark, d):
     return Tables(spark, d).events.select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
 
 
-@query("src_08_paged")
+@query("src_08_paged", "select c_custkey as id, c_name as value from customer")
 def src_08(spark, d):
     """A table served in pages of 1,000 rows, each read by a task of its own."""
+    from fernglass.operators.storage import mounted, place
     from fernglass.sources.paged import PagedSource
 
+    at = place(spark, "served")
+    customers = Tables(spark, d).customer.select("c_custkey", "c_name")
+    customers.coalesce(1).write.parquet(at)  # what the service holds: one file that is read a slice at a time
+    file = [r[0] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(at).select("path").collect()][0]
     spark.dataSource.register(PagedSource)
-    return spark.read.format("paged").option("table", "t").option("rows", "2500").option("transport", "fernglass.sources.paged:numbered").load()
+    return spark.read.format("paged").options(table=mounted(file), rows=str(customers.count()), transport="fernglass.sources.paged:parquet_rows").load()
 
 
 @query("src_13_shards", "select vec_id, len(embedding) as dim from embeddings")

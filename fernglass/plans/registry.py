@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: list[str] = ["filters", "joins", "aggregates", "scalars", "entities", "search", "rules", "flows", "misc"]
+MODULES: list[str] = ["filters", "joins", "aggregates", "scalars", "entities", "search", "rules", "flows", "misc", "roundtrip"]
 
 
 def _merged(attribute: str) -> dict:

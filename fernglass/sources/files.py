@@ -3,11 +3,7 @@
 from __future__ import annotations
 
 import base64
-import io
 import struct
-import tarfile
-import zipfile
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -56,41 +52,6 @@ def jdbc(spark: SparkSession, url: str, table: str, column: str, low: int, high:
     return reader.load()
 
 
-MEMBERS = "path string, member string, bytes long"
-
-
-def members(spark: SparkSession, root: str, pattern: str = "*.zip", digest: bool = False) -> DataFrame:
-    """path, member, bytes (and sha256) of the files inside zip and tar archives; one row for each member.
-
-    Names and sizes of a zip come from its directory alone. Archives that can't be read give a row without a member.
-    """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import hashlib
-
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                rows = []
-                try:
-                    if zipfile.is_zipfile(io.BytesIO(content)):
-                        with zipfile.ZipFile(io.BytesIO(content)) as z:
-                            for i in z.infolist():
-                                if not i.is_dir():
-                                    rows.append((path, i.filename, i.file_size, hashlib.sha256(z.read(i)).hexdigest() if digest else None))
-                    else:
-                        with tarfile.open(fileobj=io.BytesIO(content)) as t:
-                            for i in t:
-                                if i.isfile():
-                                    rows.append((path, i.name, i.size, hashlib.sha256(t.extractfile(i).read()).hexdigest() if digest else None))
-                except (zipfile.BadZipFile, tarfile.TarError, EOFError, OSError):
-                    rows = [(path, None, None, None)]
-                yield pd.DataFrame(rows, columns=["path", "member", "bytes", "sha256"])
-
-    out = found.select("path", "content").mapInPandas(read, MEMBERS + ", sha256 string")
-    return out if digest else out.drop("sha256")
-
-
 @F.pandas_udf(T.ArrayType(T.FloatType()))
 def float16_base64(cells: pd.Series) -> pd.Series:
     """Vectors stored as base64 of half-precision numbers."""
@@ -117,6 +78,43 @@ def ids_in_html(html: Column, attribute: str) -> Column:
     return F.regexp_extract_all(html, F.lit(attribute + r'="([^"]*)"'), F.lit(1))
 
 
+#: Characters of an export's sidecar beyond which it is none.
+SIDECAR_CHARS = 4 << 20
+
+
+def sidecar(content: Column) -> Column:
+    """title (lower case) and taken (epoch seconds) of an export's JSON sidecar; null if it is too long, or says neither."""
+    said = F.from_json(F.when(F.length(content) <= SIDECAR_CHARS, content), "title string, photoTakenTime struct<timestamp: string>")
+    taken = said["photoTakenTime"]["timestamp"].try_cast("bigint")
+    return F.when(said["title"].isNotNull() & taken.isNotNull(), F.struct(F.lower(said["title"]).alias("title"), taken.alias("taken")))
+
+
+def protective_terms(spark: SparkSession, path: str, section: str = "protect") -> list[str]:
+    """The terms of a profile, `section:` and then a line `- term` for each; raises if the file or the section is missing or empty.
+
+    Without them nothing may go on: a run that protects nobody looks like one that found nothing to protect.
+    """
+    rows = spark.read.text(path, wholetext=True).collect()  # a profile that people write by hand
+    terms, inside = [], False
+    for line in "\n".join(r[0] for r in rows).splitlines():
+        line = line.split("#")[0].rstrip()
+        if line and not line[0].isspace() and not line.startswith("-"):
+            inside = line.rstrip(":") == section and line.endswith(":")
+        elif inside and line.strip().startswith("- "):
+            terms.append(line.strip()[2:].strip().strip("\"'"))
+    if not [t for t in terms if t]:
+        raise ValueError(f"no terms under {section}: in {path}")
+    return sorted({t.lower() for t in terms if t})
+
+
+def numbered(files: DataFrame, pattern: str) -> DataFrame:
+    """stem, number, path of the files whose name matches a pattern of two groups, and how many numbers of a stem are missing below its highest."""
+    name = F.element_at(F.split("path", "/"), -1)
+    found = files.select("path", F.regexp_extract(name, pattern, 1).alias("stem"), F.regexp_extract(name, pattern, 2).try_cast("int").alias("number")).where("number is not null")
+    per = found.groupBy("stem").agg((F.max("number") - F.count_distinct("number")).cast("bigint").alias("missing"))
+    return found.join(per, "stem").select("stem", "number", "missing", "path")
+
+
 def gazetteer(places: DataFrame, admin: DataFrame, countries: DataFrame) -> DataFrame:
     """Places with the names of their region and country, looked up by code."""
     return places.join(admin, "admin_code", "left").join(countries, "country_code", "left")
