@@ -7,7 +7,6 @@ other characters; ``bytes.split()`` cuts at exactly these, and ``bytes.lower()``
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,8 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Where tables go if the session names no shared folder, as in tests on one machine.
-LOCAL_CHECKPOINTS = "/tmp/checkpoints/fernglass"
+from fernglass.operators.storage import delete, shared_folder, written
 
 #: Rows of one Arrow batch that an operator emits.
 OUT_ROWS = 1000
@@ -48,41 +46,22 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that every executor sees: spark.checkpoint.dir, set here only where it is unset."""
-    at = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = LOCAL_CHECKPOINTS
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back: lineage ends there and lost executors lose nothing.
 
     The tables of an application lie under ``<shared folder>/tables/<application id>``; drop_stash removes them.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    found = spark.read.schema(df.schema).parquet(path)
-    found._stashed_at = path
-    return found
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return written(df, name)
 
 
 def discard(found: DataFrame) -> None:
     """Deletes a table of stash() that nothing reads any more."""
-    _delete(found.sparkSession, found._stashed_at)
+    delete(found.sparkSession, found._stashed_at)
 
 
 def drop_stash(spark: SparkSession) -> None:
     """Deletes all that stash() has written in this application. Results that still read it become unreadable."""
-    _delete(spark, f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}")
+    delete(spark, f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}")
 
 
 def fold(doc_id: Column, parts: int) -> Column:
