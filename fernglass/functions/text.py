@@ -58,24 +58,39 @@ def slack(name: Column) -> Column:
 
 
 def close_score(typed: str, known: str) -> float | None:
-    """Distance of a typed name to a known one within its slack, word by word at 0.5 more, or None."""
+    """Distance of a typed name to a known one within the slack of the longer, else word by word at 0.5 more; None if far, or the same."""
 
     def room(s: str) -> int:
         return 3 if len(s) >= 9 else 2 if len(s) >= 5 else 1 if len(s) >= 3 else 0
 
-    if (d := _osa(typed, known)) <= room(typed):
-        return float(d)
+    def near(a: str, b: str) -> int | None:
+        d = _osa(a, b)
+        return d if d <= max(room(a), room(b)) else None
+
+    if not typed or not known:
+        return None
+    if (d := near(typed, known)) is not None:
+        return float(d) if d else None
     left = known.split()
     total = 0
     for word in typed.split():
-        best = min(((_osa(word, w), w) for w in left), default=(99, ""))
-        if best[0] > room(word):
+        found = [(d, i) for i, w in enumerate(left) if (d := near(word, w)) is not None]
+        if not found:
             return None
-        total += best[0]
-        left.remove(best[1])
+        d, i = min(found)
+        total += d
+        del left[i]
     return total + 0.5
 
 
+def close_names(typed: str, known: list[str], most: int = 3) -> list[str]:
+    """The closest known names, best first, then by name; none if the typed one is known."""
+    if typed in known:
+        return []
+    scored = sorted((s, k) for k in set(known) if (s := close_score(typed, k)) is not None)
+    return [k for _, k in scored[:most]]
+
+
 def basename(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 

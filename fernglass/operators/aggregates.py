@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,8 +56,16 @@ def coverage(df: DataFrame, columns: dict[str, Column | None]) -> DataFrame:
     return rows.withColumn("share", F.when(F.col("applicable") > 0, F.round(F.col("filled") / F.col("applicable"), 4)))
 
 
-def latest(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    """The first row of each key in an order, which should end in a unique column."""
+def latest(df: DataFrame, keys: list[str], *order: Column | str) -> DataFrame:
+    """The first row of each key in an order, which should end in a unique column.
+
+    Names alone mean that the greatest comes first, nulls last: then a key's rows meet as partial maxima and are never
+    sorted. Other orders take a window, which sorts each key.
+    """
+    if all(isinstance(o, str) for o in order):
+        rest = [c for c in df.columns if c not in keys]
+        best = F.max_by(F.struct(*rest), F.struct(*order)).alias("_best")
+        return df.groupBy(*keys).agg(best).select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
     return df.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_k = 1").drop("_k")
 
 
@@ -70,19 +81,28 @@ def sessions(df: DataFrame, keys: list[str], at: str, tie: str, gap: str, least:
 
 
 def batches_by_size(df: DataFrame, keys: list[str], order: list[str], size: str, limit: float) -> DataFrame:
-    """df with `batch`: consecutive rows of a key as long as their sizes stay within the limit; a larger row is alone.
+    """keys, order, batch: consecutive rows of a key as long as their sizes stay within the limit; a larger row is alone.
 
-    The sum starts anew with each batch, which no running sum can say: the sizes of a key are folded in order. A key's
-    rows must fit in memory as (order, size) pairs.
+    The sum starts anew with each batch, which no running sum can say: the rows of a key pass through one task, sorted on
+    disk, which carries the sum and the number from row to row and holds one Arrow batch. A null size counts as nothing.
     """
-    head = F.array_sort(F.collect_list(F.struct(*order, F.col(size).cast("double").alias("_size"))))
-    start = F.struct(F.lit(0.0).alias("used"), F.lit(0).alias("batch"), F.array().cast("array<int>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        fits = (acc["used"] + x["_size"] <= limit) & (acc["batch"] > 0)
-        batch = F.when(fits, acc["batch"]).otherwise(acc["batch"] + 1)
-        return F.struct(F.when(fits, acc["used"] + x["_size"]).otherwise(x["_size"]).alias("used"), batch.alias("batch"), F.concat(acc["out"], F.array(batch)).alias("out"))
-
-    rows = df.groupBy(*keys).agg(head.alias("_rows")).withColumn("_batch", F.aggregate("_rows", start, step, lambda a: a["out"]))
-    flat = rows.select(*keys, F.explode(F.arrays_zip("_rows", "_batch")).alias("_p"))
-    return flat.select(*keys, *[F.col(f"_p._rows.{o}").alias(o) for o in order], F.col("_p._batch").alias("batch"))
+    rows = df.select(*keys, *order, F.coalesce(F.col(size).cast("double"), F.lit(0.0)).alias("_size"))
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, *order)
+    kinds = dict(df.dtypes)
+    n = len(keys)
+
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, used, batch = None, 0.0, 0
+        for t in tables:
+            out = []
+            for own, x in zip(zip(*(t.column(i).to_pylist() for i in range(n))), t.column(t.num_columns - 1).to_pylist()):
+                if own != last:
+                    last, used, batch = own, 0.0, 0
+                if batch and used + x <= limit:
+                    used += x
+                else:
+                    used, batch = x, batch + 1
+                out.append(batch)
+            yield pa.RecordBatch.from_arrays([*t.columns[:-1], pa.array(out, pa.int32())], names=[*keys, *order, "batch"])
+
+    return dealt.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in [*keys, *order]) + ", batch int")

@@ -25,17 +25,17 @@ def overlay(resolved: DataFrame, answers: DataFrame) -> DataFrame:
 
     answers: hash, field, value, at, seq.
     """
-    top = latest(answers, ["hash", "field"], F.desc("at"), F.desc("seq")).select("hash", "field", "value", F.lit("human").alias("source"))
+    top = latest(answers, ["hash", "field"], "at", "seq").select("hash", "field", "value", F.lit("human").alias("source"))
     return top.unionByName(resolved.join(top, ["hash", "field"], "left_anti"))
 
 
-def superseded(asserted: DataFrame, keys: list[str], value: str, *order: Column) -> DataFrame:
+def superseded(asserted: DataFrame, keys: list[str], value: str, *order: Column | str) -> DataFrame:
     """keys, value: whatever was said once and is not what is said last."""
     now = latest(asserted, keys, *order).select(*keys, value)
     return asserted.select(*keys, value).distinct().join(now, [*keys, value], "left_anti")
 
 
-def tally(votes: DataFrame, item: list[str], voter: str, yes: Column, no: Column, *order: Column) -> DataFrame:
+def tally(votes: DataFrame, item: list[str], voter: str, yes: Column, no: Column, *order: Column | str) -> DataFrame:
     """item, yes, no, verdict of each voter's latest vote: more yes adds, more no removes, a tie changes nothing."""
     last = latest(votes, [*item, voter], *order)
     counts = last.groupBy(*item).agg(F.count_if(yes).alias("yes"), F.count_if(no).alias("no"))
@@ -78,14 +78,19 @@ def keep_newest_days(df: DataFrame, at: str, days: int) -> DataFrame:
 def duplicate_tiers(df: DataFrame, key: str, size: str, ends: Column, whole: Column) -> DataFrame:
     """key, tier: unique size, unique ends, unique content or duplicate; only whole content declares a duplicate.
 
-    Ends are digested only where sizes agree, and contents only where ends do too.
+    Sizes and ends are counted with partial sums, over rows without their content. Contents are read once more, and
+    digested, only for rows whose size and ends agree with another's. A null size is a size of its own.
     """
-    sized = df.withColumn("_n", F.count("*").over(Window.partitionBy(size)))
-    alone = sized.where("_n = 1").select(key, F.lit("unique size").alias("tier"))
-    same = sized.where("_n > 1").withColumn("_e", ends).withColumn("_m", F.count("*").over(Window.partitionBy(size, "_e")))
-    apart = same.where("_m = 1").select(key, F.lit("unique ends").alias("tier"))
-    close = same.where("_m > 1").withColumn("_w", whole).withColumn("_c", F.count("*").over(Window.partitionBy("_w")))
-    return alone.unionByName(apart).unionByName(close.select(key, F.when(F.col("_c") > 1, "duplicate").otherwise("unique content").alias("tier")))
+    small = df.select(key, F.col(size).alias("_s"), ends.alias("_e"))
+    counts = small.groupBy("_s", "_e").agg(F.count("*").alias("_m"))
+    sizes = counts.groupBy("_s").agg(F.sum("_m").alias("_n"))
+    counts = counts.join(sizes.withColumnRenamed("_s", "_s2"), F.col("_s").eqNullSafe(F.col("_s2"))).select(F.col("_s").alias("_s1"), F.col("_e").alias("_e1"), "_n", "_m")
+    told = small.join(counts, F.col("_s").eqNullSafe(F.col("_s1")) & F.col("_e").eqNullSafe(F.col("_e1"))).select(key, "_n", "_m")
+    apart = told.where("_n = 1 or _m = 1").select(key, F.when(F.col("_n") == 1, "unique size").otherwise("unique ends").alias("tier"))
+    close = df.join(told.where("_n > 1 and _m > 1").select(key), key, "left_semi").select(key, whole.alias("_w"))
+    copies = close.groupBy("_w").agg(F.count("*").alias("_c")).withColumnRenamed("_w", "_w1")
+    whole_told = close.join(copies, F.col("_w").eqNullSafe(F.col("_w1")))
+    return apart.unionByName(whole_told.select(key, F.when(F.col("_c") > 1, "duplicate").otherwise("unique content").alias("tier")))
 
 
 def blocked(df: DataFrame, block: DataFrame, size: str, digest: str) -> DataFrame:

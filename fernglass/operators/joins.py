@@ -65,6 +65,10 @@ def rename_prefixes(path: Column, renames: dict[str, str]) -> Column:
     return out
 
 
+#: Parts that a key which all rows share is dealt into.
+SALTS = 256
+
+
 def expand_scopes(answers: DataFrame, files: DataFrame) -> DataFrame:
     """Answers on a file, a folder, an origin, a cluster or all, as one row for each (answer, hash) they reach.
 
@@ -77,8 +81,8 @@ def expand_scopes(answers: DataFrame, files: DataFrame) -> DataFrame:
     parents = files.select("hash", F.explode(ancestors(F.col("folder"))).alias("above"))
     folder = answers.where(F.col("scope") == "folder")
     per.append(folder.join(parents, folder["target"] == parents["above"]).select("answer_id", "hash"))
-    every = answers.where(F.col("scope") == "all").select("answer_id", F.lit(1).alias("_one"))
-    per.append(every.join(files.select("hash", F.lit(1).alias("_one")), "_one").select("answer_id", "hash"))
+    every = answers.where(F.col("scope") == "all").select("answer_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    per.append(every.join(files.select("hash", F.pmod(F.xxhash64("hash"), F.lit(SALTS)).cast("int").alias("_salt")), "_salt").select("answer_id", "hash"))
     return reduce(DataFrame.unionByName, per).distinct()
 
 
@@ -88,6 +92,33 @@ def ancestors(folder: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
 
 
+def close_pairs(names: DataFrame, name: str, slack: dict[int, int]) -> DataFrame:
+    """a, b: distinct names a < b whose edit distance is within the slack of a's length (slack: least length -> edits).
+
+    A name of slack s is cut into s + 1 segments, of which one at least is whole in every partner, moved by s places at
+    most. Partners meet by segment, so that names of one length are not all compared.
+    """
+    own = names.select(F.col(name).alias("n")).where(F.col(name).isNotNull()).distinct().withColumn("_l", F.length("n"))
+    room = lambda length: reduce(lambda rest, k: F.when(length >= k, slack[k]).otherwise(rest), sorted(slack), F.lit(0))
+    most = max(slack.values(), default=0)
+
+    def segment(length: Column, s: Column, k: Column) -> tuple[Column, Column]:
+        first = F.floor(k * length / (s + 1)).cast("int")
+        return first, (F.floor((k + 1) * length / (s + 1)) - first).cast("int")
+
+    a = own.select(F.col("n").alias("a"), F.col("_l"), room(F.col("_l")).alias("_s"))
+    a = a.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_s"))))
+    first, size = segment(F.col("_l"), F.col("_s"), F.col("_k"))
+    a = a.select("a", "_l", "_k", F.substr("a", first + 1, size).alias("_part"))
+    b = own.select(F.col("n").alias("b"), F.explode(F.sequence(F.greatest(F.lit(0), F.col("_l") - most), F.col("_l") + most)).alias("_l"), F.col("_l").alias("_own"))
+    b = b.withColumn("_s", room(F.col("_l"))).where(F.abs(F.col("_own") - F.col("_l")) <= F.col("_s")).withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_s"))))
+    first, size = segment(F.col("_l"), F.col("_s"), F.col("_k"))
+    b = b.withColumns({"_first": first, "_size": size}).withColumn("_at", F.explode(F.sequence(F.greatest(F.lit(0), F.col("_first") - F.col("_s")), F.greatest(F.lit(0), F.col("_first") + F.col("_s")))))
+    b = b.where(F.col("_at") + F.col("_size") <= F.col("_own")).select("b", "_l", "_k", F.substr("b", F.col("_at") + 1, F.col("_size")).alias("_part")).distinct()
+    met = a.join(b, ["_l", "_k", "_part"]).where("a < b").select("a", "b").distinct()
+    return met.where(F.levenshtein("a", "b") <= room(F.length("a")))
+
+
 def explain_absence(wanted: DataFrame, key: str, sources: list[tuple[str, DataFrame]], otherwise: str = "unexplained") -> DataFrame:
     """wanted with `reason`: the first source that has the key."""
     names = []

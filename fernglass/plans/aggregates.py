@@ -144,9 +144,9 @@ def agg_23(spark, d):
     return Tables(spark, d).documents.groupBy(F.md5(F.col("text").cast("binary")).alias("h")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")).where("n > 1")
 
 
-@query("agg_24_status_precedence", "select user_id, case when bool_or(event_type='error' and value > 60) then 'held' when bool_or(event_type='error') then 'error' when bool_and(event_type in ('view','click')) then 'pending' else 'complete' end as status from events where event_id % 40 = 0 group by user_id")
+@query("agg_24_status_precedence", "select user_id, case when bool_or(event_type='error' and value > 60) then 'held' when bool_or(event_type='error') then 'error' when bool_and(event_type in ('view','click')) then 'pending' else 'complete' end as status from events group by user_id")
 def agg_24(spark, d):
-    e = Tables(spark, d).events.where("event_id % 40 = 0")
+    e = Tables(spark, d).events
     error = F.col("event_type") == "error"
     status = F.when(F.bool_or(error & (F.col("value") > 60)), "held").when(F.bool_or(error), "error").when(F.bool_and(F.col("event_type").isin("view", "click")), "pending").otherwise("complete")
     return e.groupBy("user_id").agg(status.alias("status"))
@@ -237,12 +237,12 @@ def win_04(spark, d):
 
 @query("win_05_latest", "select distinct on (user_id, event_type) user_id, event_type, event_id, value from events order by user_id, event_type, ts desc, event_id desc")
 def win_05(spark, d):
-    return A.latest(Tables(spark, d).events, ["user_id", "event_type"], F.desc("ts"), F.desc("event_id")).select("user_id", "event_type", "event_id", "value")
+    return A.latest(Tables(spark, d).events, ["user_id", "event_type"], "ts", "event_id").select("user_id", "event_type", "event_id", "value")
 
 
 @query("win_06_replay", "select conv_id, role, turn, length(text) as chars from (select *, row_number() over (partition by conv_id, role order by turn desc) as k from conversations) where k = 1")
 def win_06(spark, d):
-    return A.latest(Tables(spark, d).conversations, ["conv_id", "role"], F.desc("turn")).select("conv_id", "role", "turn", F.length("text").cast("bigint").alias("chars"))
+    return A.latest(Tables(spark, d).conversations, ["conv_id", "role"], "turn").select("conv_id", "role", "turn", F.length("text").cast("bigint").alias("chars"))
 
 
 SESSIONS = """

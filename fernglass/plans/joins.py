@@ -166,17 +166,14 @@ def joi_22(spark, d):
 
 @query("joi_23_near_pairs", "with n as (select distinct p_name as name from part) select a.name as a, b.name as b from n a join n b on a.name < b.name and levenshtein(a.name, b.name) <= case when length(a.name) >= 9 then 3 when length(a.name) >= 5 then 2 when length(a.name) >= 3 then 1 else 0 end and abs(length(a.name) - length(b.name)) <= 3")
 def joi_23(spark, d):
-    n = Tables(spark, d).part.select(F.col("p_name").alias("name")).distinct()
-    a = n.select(F.col("name").alias("a"), F.explode(F.sequence(F.length("name") - 3, F.length("name") + 3)).alias("size"))
-    b = n.select(F.col("name").alias("b"), F.length("name").alias("size"))  # names meet by length, not all pairs
-    return a.join(b, "size").where("a < b").where(F.levenshtein("a", "b") <= text.slack(F.col("a"))).select("a", "b")
+    return joins.close_pairs(Tables(spark, d).part, "p_name", {3: 1, 5: 2, 9: 3})
 
 
-@query("joi_24_condition_in_on", "select o_orderkey, l_linenumber from orders left join lineitem on l_orderkey = o_orderkey and o_orderstatus = 'F' and l_quantity >= 49 where o_orderkey < 4000")
+@query("joi_24_condition_in_on", "select o_orderkey, l_linenumber from orders left join lineitem on l_orderkey = o_orderkey and o_orderstatus = 'F' and l_quantity >= 49")
 def joi_24(spark, d):
     t = Tables(spark, d)
     on = (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("o_orderstatus") == "F") & (F.col("l_quantity") >= 49)
-    return t.orders.where("o_orderkey < 4000").join(t.lineitem, on, "left").select("o_orderkey", "l_linenumber")
+    return t.orders.join(t.lineitem, on, "left").select("o_orderkey", "l_linenumber")
 
 
 @query("joi_25_time_in_on", "select c_custkey, cast(count(o_orderkey) as bigint) as recent from customer left join orders on o_custkey = c_custkey and o_orderdate > timestamp '2001-06-01' group by c_custkey")
@@ -207,7 +204,7 @@ def joi_27(spark, d):
 
 
 @query("joi_28_scopes", """
-with files as (select o_orderkey as hash, o_orderstatus || '/' || o_orderpriority as folder, o_orderpriority as origin, cast(o_custkey % 50 as varchar) as cluster from orders where o_orderkey < 3000),
+with files as (select o_orderkey as hash, o_orderstatus || '/' || o_orderpriority as folder, o_orderpriority as origin, cast(o_custkey % 50 as varchar) as cluster from orders),
 answers(answer_id, scope, target) as (values (1,'file','17'), (2,'folder','F'), (3,'folder','O/2-HIGH'), (4,'origin','5-LOW'), (5,'cluster','7'), (6,'all',''))
 select distinct answer_id, hash from (
  select answer_id, hash from answers join files on scope = 'file' and target = cast(hash as varchar)
@@ -216,7 +213,7 @@ select distinct answer_id, hash from (
  union all select answer_id, hash from answers join files on scope = 'cluster' and cluster = target
  union all select answer_id, hash from answers join files on scope = 'all')""")
 def joi_28(spark, d):
-    o = Tables(spark, d).orders.where("o_orderkey < 3000")
+    o = Tables(spark, d).orders
     files = o.select(F.col("o_orderkey").alias("hash"), F.concat_ws("/", "o_orderstatus", "o_orderpriority").alias("folder"), F.col("o_orderpriority").alias("origin"), (F.col("o_custkey") % 50).cast("string").alias("cluster"))
     answers = spark.createDataFrame([(1, "file", "17"), (2, "folder", "F"), (3, "folder", "O/2-HIGH"), (4, "origin", "5-LOW"), (5, "cluster", "7"), (6, "all", "")], "answer_id int, scope string, target string")
     reached = joins.expand_scopes(answers, files.withColumn("hash", F.col("hash").cast("string")))
@@ -224,13 +221,13 @@ def joi_28(spark, d):
 
 
 @query("joi_29_box_match", """
-with b as (select l_orderkey as photo, l_linenumber as box, l_discount as x, l_tax as y, 0.05 + l_quantity / 500 as w, 0.05 + l_quantity / 400 as h from lineitem where l_orderkey < 2000 and l_linenumber <= 6),
+with b as (select l_orderkey as photo, l_linenumber as box, l_discount as x, l_tax as y, 0.05 + l_quantity / 500 as w, 0.05 + l_quantity / 400 as h from lineitem where l_linenumber <= 6),
 p as (select a.photo, a.box as old, c.box as new, greatest(0, least(a.x+a.w, c.x+c.w) - greatest(a.x, c.x)) * greatest(0, least(a.y+a.h, c.y+c.h) - greatest(a.y, c.y)) as i, a.w*a.h + c.w*c.h as s from b a join b c on a.photo = c.photo and a.box <= 3 and c.box > 3),
 q as (select *, i / (s - i) as iou from p), r as (select *, row_number() over (partition by photo, old order by iou desc, new) as k1, row_number() over (partition by photo, new order by iou desc, old) as k2 from q where iou >= 0.3)
 select photo, old, new from r where k1 = 1 and k2 = 1""")
 def joi_29(spark, d):
     q = F.col("l_quantity")
-    b = Tables(spark, d).lineitem.where("l_orderkey < 2000 and l_linenumber <= 6").select(F.col("l_orderkey").alias("photo"), F.col("l_linenumber").alias("box"), F.col("l_discount").alias("x"), F.col("l_tax").alias("y"), (0.05 + q / 500).alias("w"), (0.05 + q / 400).alias("h"))
+    b = Tables(spark, d).lineitem.where("l_linenumber <= 6").select(F.col("l_orderkey").alias("photo"), F.col("l_linenumber").alias("box"), F.col("l_discount").alias("x"), F.col("l_tax").alias("y"), (0.05 + q / 500).alias("w"), (0.05 + q / 400).alias("h"))
     c = b.where("box > 3").toDF("photo", "new", "x2", "y2", "w2", "h2")
     iou = values.overlap([F.col(k) for k in "xywh"], [F.col(f"{k}2") for k in "xywh"])
     pairs = b.where("box <= 3").withColumnRenamed("box", "old").join(c, "photo").withColumn("iou", iou).where("iou >= 0.3")

@@ -18,10 +18,10 @@ def cls_01(spark, d):
     return Tables(spark, d).pages.select("page_id", R.route(F.col("url"), rules, ("review", "no signal")).alias("r")).select("page_id", "r.dest", "r.why")
 
 
-@query("cls_02_side", "select o_custkey, case when bool_or(o_orderpriority='1-URGENT') then 'shared' when bool_or(o_orderstatus='P') then 'own' else 'unknown' end as side, case when bool_or(o_orderpriority='1-URGENT') then 'an urgent order' when bool_or(o_orderstatus='P') then 'a pending order' end as reason from orders where o_orderkey % 10 = 0 group by 1")
+@query("cls_02_side", "select o_custkey, case when bool_or(o_orderpriority='1-URGENT') then 'shared' when bool_or(o_orderstatus='P') then 'own' else 'unknown' end as side, case when bool_or(o_orderpriority='1-URGENT') then 'an urgent order' when bool_or(o_orderstatus='P') then 'a pending order' end as reason from orders group by 1")
 def cls_02(spark, d):
     urgent, pending = F.bool_or(F.col("o_orderpriority") == "1-URGENT"), F.bool_or(F.col("o_orderstatus") == "P")
-    o = Tables(spark, d).orders.where("o_orderkey % 10 = 0").groupBy("o_custkey")
+    o = Tables(spark, d).orders.groupBy("o_custkey")
     return o.agg(F.when(urgent, "shared").when(pending, "own").otherwise("unknown").alias("side"), F.when(urgent, "an urgent order").when(pending, "a pending order").alias("reason"))
 
 
@@ -51,7 +51,7 @@ def cls_06(spark, d):
     return Tables(spark, d).orders.select("o_orderkey", F.when(p > 400000, "tier 1").when(p > 200000, "tier 2").otherwise("tier 3").alias("tier"))
 
 
-HOLD = """with c as (select l_orderkey, l_linenumber, case l_suppkey % 4 when 0 then 'a' when 1 then 'b' when 2 then 'c' end as s, case l_partkey % 3 when 0 then 'none' when 1 then 'part' else 'full' end as e, case l_linenumber % 4 when 0 then 'child' when 1 then 'teen' when 2 then 'adult' end as a, l_tax > 0.05 as x, l_returnflag = 'R' as r from lineitem where l_orderkey < 2000)
+HOLD = """with c as (select l_orderkey, l_linenumber, case l_suppkey % 4 when 0 then 'a' when 1 then 'b' when 2 then 'c' end as s, case l_partkey % 3 when 0 then 'none' when 1 then 'part' else 'full' end as e, case l_linenumber % 4 when 0 then 'child' when 1 then 'teen' when 2 then 'adult' end as a, l_tax > 0.05 as x, l_returnflag = 'R' as r from lineitem)
 select l_orderkey, l_linenumber, case when s is null then 'unknown' when s = 'a' then 'class a' when a in ('child','teen') and (e <> 'none' or x) then 'minor' when a is null and e <> 'none' then 'age unknown' when (e <> 'none' or x) and not r then 'not released' when s = 'b' and not r then 'class b' end as reason from c"""
 
 
@@ -61,7 +61,7 @@ def cls_07(spark, d):
     s = F.when(k("l_suppkey", 4) == 0, "a").when(k("l_suppkey", 4) == 1, "b").when(k("l_suppkey", 4) == 2, "c")
     e = F.when(k("l_partkey", 3) == 0, "none").when(k("l_partkey", 3) == 1, "part").otherwise("full")
     a = F.when(k("l_linenumber", 4) == 0, "child").when(k("l_linenumber", 4) == 1, "teen").when(k("l_linenumber", 4) == 2, "adult")
-    return Tables(spark, d).lineitem.where("l_orderkey < 2000").select("l_orderkey", "l_linenumber", R.hold(s, e, a, F.col("l_tax") > 0.05, F.col("l_returnflag") == "R").alias("reason"))
+    return Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", R.hold(s, e, a, F.col("l_tax") > 0.05, F.col("l_returnflag") == "R").alias("reason"))
 
 
 @query("cls_08_share_set", "with r as (select doc_id, case when l.doc_id is null then 'no label' when toxic = 1 then 'toxic' when quality = 0 then 'poor' end as reason from documents d left join labels l using (doc_id)) select count(*) filter (where reason is null) as shared, count(*) filter (where reason is not null) as held, count(*) as everything from r")

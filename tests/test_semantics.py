@@ -309,3 +309,41 @@ def test_composed_keys_of_whole_texts(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.key for r in all_queries()["str_02_name_key_composed"](spark, str(tmp_path)).collect()}
     assert got == {i: None if t is None else re.sub(r"[\W_]+", " ", unicodedata.normalize("NFKC", t).lower()).strip() for i, t in rows}
+
+
+def test_close_names():
+    known = ["red bolt", "ted bolt", "abc", "blue ring", "small widget"]
+    assert text.close_names("ab", known) == ["abc"]
+    assert text.close_names("red bolt", known) == []
+    assert text.close_names("rde bolt", known)[0] == "red bolt"
+    assert text.close_names("widgte", known) == ["small widget"]
+    assert text.close_names("smal wigdet", known) == ["small widget"]
+    assert text.close_names("nothing like it", known) == []
+    assert text.close_score("red bolt", "red bolt") is None and text.close_score("", "abc") is None
+
+
+def test_close_pairs_against_all_pairs(spark):
+    import random
+
+    r = random.Random(5)
+    names = {"".join(r.choice("ab ") for _ in range(r.randint(0, 13))) for _ in range(150)} | {"blue widget", "blue widgte", "bleu widget", "a", "b", "ab"}
+    df = spark.createDataFrame([(n,) for n in names] + [(None,)], "n string")
+    got = {(x.a, x.b) for x in joins.close_pairs(df, "n", {3: 1, 5: 2, 9: 3}).collect()}
+    pairs = spark.createDataFrame([(a, b) for a in names for b in names if a < b], "a string, b string").withColumn("d", F.levenshtein("a", "b")).collect()
+    assert got == {(p.a, p.b) for p in pairs if p.d <= (3 if len(p.a) >= 9 else 2 if len(p.a) >= 5 else 1 if len(p.a) >= 3 else 0)}
+
+
+def test_latest_by_names_and_by_window(spark):
+    rows = [(k % 5 if k % 7 else None, k % 3 if k % 4 else None, k, str(k)) for k in range(200)]
+    df = spark.createDataFrame(rows, "k int, at int, id int, s string")
+    a = A.latest(df, ["k"], "at", "id")
+    assert a.columns == df.columns
+    assert sorted(map(str, a.collect())) == sorted(map(str, A.latest(df, ["k"], F.desc("at"), F.desc("id")).collect()))
+
+
+def test_tiers_of_hot_and_null_sizes(spark):
+    rows = [(i, 0, "") for i in range(50)] + [(100, 3, "abc"), (101, 3, "abd"), (102, 3, "abc"), (103, None, "x"), (104, 7, "aXXXXXb"), (105, 7, "aYYYYYb")]
+    df = spark.createDataFrame(rows, "k int, n int, t string")
+    got = {r.k: r.tier for r in E.duplicate_tiers(df, "k", "n", hashes.signature(F.col("t"), 1), F.md5(F.col("t").cast("binary"))).collect()}
+    assert len(got) == len(rows) and {got[i] for i in range(50)} == {"duplicate"}
+    assert (got[100], got[101], got[102], got[103]) == ("duplicate", "unique ends", "duplicate", "unique size") and got[104] == got[105] == "unique content"
