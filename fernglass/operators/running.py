@@ -11,9 +11,11 @@ RANGES, SAMPLE = 256, 8_192
 BLOCK = 16
 
 
-def with_running(df: DataFrame, order: list[str], value: Column, alias: str) -> DataFrame:
+def with_running(df: DataFrame, order: list[str], value: Column, alias: str, **more: Column) -> DataFrame:
     """df with the sum of value over the rows up to and including each, by order and then by a hash of the whole row.
 
+    more: further sums in the same order, by their names.
+
     A row's range is a column computed from its own order and from borders of a hashed sample (one row of RANGES borders
     at most), not from where it lies: both branches of the plan agree on it whatever columns they keep and however
     Spark deals them. Rows that are equal in all columns share a place in the order. Nulls come first.
@@ -23,7 +25,9 @@ def with_running(df: DataFrame, order: list[str], value: Column, alias: str) ->
     own = [f"_{i}" for i in range(len(names))]
     keys = [f"_{names.index(o)}" for o in order]
     # The order and the value are computed once, ahead of both branches, on df's own names.
-    placed = df.select("*", value.alias("_value_")).toDF(*own, "_value")
+    sums = {alias: value} | more
+    cells = [f"_value{i}" for i in range(len(sums))]
+    placed = df.select("*", *[v.alias(f"_value_{i}") for i, v in enumerate(sums.values())]).toDF(*own, *cells)
     hashed = F.xxhash64(*own)
     at = F.struct(*[F.col(k) for k in keys], hashed.alias("_hash"))
     rows = flat.agg(F.count("*").alias("_rows"))
@@ -37,8 +41,10 @@ def with_running(df: DataFrame, order: list[str], value: Column, alias: str) ->
     inner = lambda a: F.transform(F.array(below("_ends", a) * BLOCK), lambda k: k + below(F.slice("_borders", k + 1, BLOCK), a))[0]
     ranged = placed.withColumn("_at", at).crossJoin(F.broadcast(borders))
     ranged = ranged.withColumn("_range", F.transform(F.array("_at"), inner)[0]).drop("_borders", "_ends")
-    totals = ranged.groupBy("_range").agg(F.sum("_value").alias("_total"))  # RANGES + 1 rows at most
-    before = F.coalesce(F.sum("_total").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    inside = F.sum("_value").over(Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
-    out = ranged.withColumn("_inside", inside).join(F.broadcast(totals.select("_range", before.alias("_before"))), "_range")
-    return out.select(*own, (F.col("_inside") + F.col("_before")).alias("_sum")).toDF(*names, alias)
+    totals = ranged.groupBy("_range").agg(*[F.sum(v).alias(f"_total{v}") for v in cells])  # RANGES + 1 rows at most
+    over = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = [F.coalesce(F.sum(f"_total{v}").over(over), F.lit(0)).alias(f"_before{v}") for v in cells]
+    within = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    inside = ranged.withColumns({f"_inside{v}": F.sum(v).over(within) for v in cells})
+    out = inside.join(F.broadcast(totals.select("_range", *before)), "_range")
+    return out.select(*own, *[(F.col(f"_inside{v}") + F.col(f"_before{v}")).alias(f"_sum{v}") for v in cells]).toDF(*names, *sums)
