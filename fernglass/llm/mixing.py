@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fernglass.llm.shared import count_words, keep_rows, pick, stash, text_key, texts
+from fernglass.llm.shared import keep_rows, pick, stash, text_key, texts
+from fernglass.operators.running import with_running
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -30,15 +31,11 @@ REPEATS = 2
 SLOPES = (-0.5, 0.5, 0.0)
 
 
-def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), batch.column("source"), pa.array(count_words(batch.column("text")), pa.int64())], names=["doc_id", "text_key", "source", "size"])
-
-
 def sizes(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, source, size: the words of each text, 0 where it is null."""
     rows = pick(docs, "doc_id", "source", "text").select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string")).withColumn("text_key", text_key())
-    return rows.mapInArrow(_sizes, "doc_id long, text_key long, source string, size long")
+    words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
+    return rows.select("doc_id", "text_key", "source", F.coalesce(words, F.lit(0)).cast("long").alias("size"))
 
 
 def _cycle(rank: Column, values: tuple[float, ...]) -> Column:
@@ -46,22 +43,23 @@ def _cycle(rank: Column, values: tuple[float, ...]) -> Column:
 
 
 def targets(sized: DataFrame, weights=WEIGHTS, total: float = TOTAL, repeats: int = REPEATS, slopes=SLOPES) -> DataFrame:
-    """One row per source: source, source_size, target, slope. A few rows: one for each source, sorted in one task.
+    """One row per source: source, source_size, target, slope.
 
     Water filling: with sources by (repeats x size / weight), the first k are held at their limit, where k is the
-    least such that the level of the rest is at most the next one's ratio.
+    least such that the level of the rest is at most the next one's ratio. Ranks and sums over the sources are made in
+    two levels, as there may be as many sources as hosts.
     """
-    by_name = Window.orderBy(F.asc_nulls_last("source"))
-    per = sized.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("rank", F.row_number().over(by_name))
+    per = stash(sized.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("unnamed", F.col("source").isNull()), "sources")
+    per = with_running(per, ["unnamed", "source"], F.lit(1).cast("long"), "rank")  # by code point, null last
     per = per.select("source", "source_size", "rank", _cycle(F.col("rank"), weights).alias("weight"), _cycle(F.col("rank"), slopes).alias("slope"), (F.lit(float(repeats)) * F.col("source_size")).alias("limit"))
-    ratio = F.col("limit") / F.col("weight")
-    everyone = Window.orderBy(ratio, "rank").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = Window.orderBy(ratio, "rank").rowsBetween(Window.unboundedPreceding, -1)
-    onward = Window.orderBy(ratio, "rank").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    level = (F.lit(float(total)) * F.sum("source_size").over(everyone) - F.coalesce(F.sum("limit").over(before), F.lit(0.0))) / F.sum("weight").over(onward)
-    per = per.withColumn("ratio", ratio).withColumn("level", level)
-    found = F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("ratio", "rank", "level"))).over(everyone)
-    return per.withColumn("found", found).select("source", "source_size", "slope", F.when(F.col("found").isNull(), F.col("limit")).otherwise(F.least(F.col("limit"), F.col("found.level") * F.col("weight"))).alias("target"))
+    per = stash(per.withColumn("ratio", F.col("limit") / F.col("weight")), "ratios")
+    sums = with_running(per, ["ratio", "rank"], F.col("limit"), "limits", weights=F.col("weight"))
+    whole = per.agg(F.sum("source_size").alias("all_sizes"), F.sum("weight").alias("all_weights"))
+    level = (F.lit(float(total)) * F.col("all_sizes") - (F.col("limits") - F.col("limit"))) / (F.col("all_weights") - F.col("weights") + F.col("weight"))
+    levels = sums.crossJoin(whole).withColumn("level", level)
+    found = levels.agg(F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("ratio", "rank", "level"))).alias("found"))
+    per = per.crossJoin(found)
+    return per.select("source", "source_size", "slope", F.when(F.col("found").isNull(), F.col("limit")).otherwise(F.least(F.col("limit"), F.col("found.level") * F.col("weight"))).alias("target"))
 
 
 def _when(share: Column, slope: Column) -> Column:
@@ -165,13 +163,15 @@ with sized as (
 ), found as (
   select *, (select l2.level from levels l2 where l2.level <= l2.ratio order by l2.ratio, l2.rank limit 1) as lam from levels
 ), targets as (
-  select source, source_size, case when lam is null then lim else least(lim, lam * weight) end as target from found
+  select source, source_size, rank, case when lam is null then lim else least(lim, lam * weight) end as target from found
 ), cum as (
-  select s.*, t.source_size, t.target, cast(floor(t.target + 0.5) as bigint) as whole,
+  select s.*, t.source_size, t.target, t.rank, cast(floor(t.target + 0.5) as bigint) as whole,
     cast(coalesce(sum(s.size) over (partition by s.source order by s.h, s.doc_id, s.size rows between unbounded preceding and 1 preceding), 0) as bigint) as start
   from sized s join targets t on s.source is not distinct from t.source
 ), uses as (
   select *, case when source_size > 0 then least(whole // source_size, 2) else 0 end as n from cum
 )
-select doc_id, size, source_size, target, cast(n * size + greatest(0, least(size, whole - n * source_size - start)) as bigint) as taken from uses
+select doc_id, size, source_size, target, cast(n * size + part as bigint) as taken, cast(case when size > 0 then n + case when part > 0 then 1 else 0 end else 0 end as int) as uses,
+  round(case when size > 0 and n * size + part > 0 then case (rank - 1) % 3 when 0 then (sqrt(1.5 * 1.5 + 4 * -0.5::double * (start / whole)) - 1.5) / (2 * -0.5::double) when 1 then (sqrt(0.5 * 0.5 + 4 * 0.5::double * (start / whole)) - 0.5) / (2 * 0.5::double) else start / whole end end, 9) as position
+from (select *, greatest(0, least(size, whole - n * source_size - start)) as part from uses)
 """

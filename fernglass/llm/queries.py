@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from fernglass.llm import embed_dedup, exact_dedup, hmm_lm, html_main, langid, minhash, mixing, packing, token_counts, toxicity
 
@@ -16,8 +17,10 @@ def op5_exact_dedup(spark, sf_dir):
 
 
 def op3_mixing(spark, sf_dir):
+    """taken is the sum of what the placed uses of a document take; position is where the first of them begins."""
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    taken = F.aggregate("words", F.lit(0).cast("long"), lambda a, w: a + w)
+    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.size("positions").alias("uses"), F.round(F.get("positions", F.lit(0)), 9).alias("position"))
 
 
 def op9_packing(spark, sf_dir):
