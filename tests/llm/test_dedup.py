@@ -168,3 +168,61 @@ def test_no_vectors(spark):
     assert embed_dedup.near_dedup(df).count() == 0
     df = spark.createDataFrame([(1, None)], "vec_id long, embedding array<float>")
     assert [(r.n_links, r.component_id, r.kept) for r in embed_dedup.near_dedup(df).collect()] == [(0, 1, True)]
+
+
+def test_tiles_decide_like_single_pairs():
+    """A tile's links are those of its pairs taken one by one, on distances that lie on the limits."""
+    r = np.random.default_rng(4)
+    x = r.normal(size=(60, 8))
+    x[30:] = x[:30] + r.choice([0, 1e-17, 1e-3, 0.02], size=(30, 1)) * r.normal(size=(30, 8))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    space = embed_dedup.Space(8, x, 0.95)
+    rotated = space.rotate(x)
+    d = ((rotated[:, None, space.blocks[1]] - rotated[None, :, space.blocks[1]]) ** 2).sum(axis=2)
+    space.shares[1] = float(d[3, 33])  # a pair lies on the limit to the last bit
+    space.least = float(embed_dedup.products(x[5:6], x[35:36])[0])
+    for block in range(len(space.blocks)):
+        got = space.links(np.ones((60, 60), bool), x, x, rotated, rotated, block)
+        for i in range(60):
+            for j in range(60):
+                one = embed_dedup.products(x[i : i + 1], x[j : j + 1])[0] >= space.least and space.admits(rotated[i : i + 1], rotated[j : j + 1], block)[0]
+                assert got[i, j] == one, (block, i, j)
+
+
+def test_every_pair_is_dealt_once():
+    """Over all cells and chunks, each pair of vectors within a block's radius meets in exactly one task."""
+    r = np.random.default_rng(8)
+    x = r.normal(size=(300, 6)) * [0.5, 0.3, 0.3, 0.1, 0.1, 0.1]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    space = embed_dedup.Space(6, x, 0.9)
+    rotated = space.rotate(x)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(300)), embed_dedup._packed(rotated)], names=["node", "rotated"])
+    placed = pa.Table.from_batches(list(embed_dedup._placed(space)(iter([batch])))).to_pydict()
+    counts = {}
+    for b, c, m in zip(placed["block"], placed["cell"], placed["bits"]):
+        n, shared = counts.get((b, c), (0, 7))
+        counts[b, c] = (n + 1, shared & m)
+    old = embed_dedup.CHUNK
+    embed_dedup.CHUNK = 20
+    try:
+        deal = embed_dedup.Deal(counts)
+        rows, task, side = deal.tasks_of(*(np.array(placed[k]) for k in ("block", "cell", "node")))
+    finally:
+        embed_dedup.CHUNK = old
+    members = {}
+    for k, t, s in zip(rows.tolist(), task.tolist(), side.tolist()):
+        members.setdefault(t, ([], []))[s].append((placed["node"][k], placed["bits"][k]))
+    met = {}
+    for t, (a, b) in members.items():
+        pairs = [(p, q) for i, p in enumerate(a) for q in a[i + 1 :]] if not b else [(p, q) for p in a for q in b]
+        for (i, bi), (j, bj) in pairs:
+            if not bi & bj:
+                key = (deal.block(t), min(i, j), max(i, j))
+                met[key] = met.get(key, 0) + 1
+    assert set(met.values()) == {1}
+    for block, part in enumerate(space.blocks):
+        for i in range(300):
+            near = np.flatnonzero(embed_dedup.squares(rotated[i : i + 1, part].repeat(300, 0), rotated[:, part]) <= space.shares[block])
+            assert all((block, i, j) in met for j in near.tolist() if j > i)
