@@ -31,6 +31,8 @@ SAMPLE_DOCS = 20_000
 #: Texts that stand for lambda = 1 in its fit, and where it is looked for.
 PULL, LAMBDAS = 5.0, (0.02, 50.0)
 PREFIXES = range(2, 10)
+#: Characters of the prefixes that are scored ahead of all others.
+SHORT = 3
 PRIOR = 2.0
 #: Bound of a prior's share: the same occurrences stand behind a word and its prefixes, and must not multiply.
 LEAST = 0.05
@@ -143,13 +145,13 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
-def _log_odds(rows: list[tuple[str, int, int]], total1: int, total0: int) -> tuple[dict, dict]:
-    """Scores of words and prefixes, each smoothed towards its longest prefix.
+def _log_odds(rows: list[tuple[str, int, int]], total1: int, total0: int, known: dict[str, float] | None = None) -> tuple[dict, dict]:
+    """Scores of words and prefixes, each smoothed towards its longest prefix; known: prefixes with scores already.
 
     Left out are those that do not depart from that prefix's score: looking them up finds it all the same.
     """
     rate = total1 / max(total0, 1)
-    prefixes: dict[str, float] = {}
+    prefixes: dict[str, float] = dict(known or {})
 
     def prior(text: str) -> float:
         for n in range(len(text) - 1, PREFIXES[0] - 1, -1):
@@ -174,13 +176,14 @@ def _log_odds(rows: list[tuple[str, int, int]], total1: int, total0: int) -> tup
     return words, prefixes
 
 
-def _departing(total1: int, total0: int):
-    """Of the keys with the same first two characters, which hold each other's prefixes: those with a score of their own."""
+def _departing(total1: int, total0: int, known: dict[str, float]):
+    """Of keys that hold each other's prefixes but for the known ones: those with a score of their own."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = list(zip(*(table.column(c).to_pylist() for c in ("key", "n1", "n0"))))
-        words, prefixes = _log_odds(rows, total1, total0)
-        return pa.table({"key": pa.array(["w" + w for w in words] + ["p" + p for p in prefixes], pa.string()), "score": pa.array([*words.values(), *prefixes.values()], pa.float64())})
+        words, prefixes = _log_odds(rows, total1, total0, known)
+        found = {"w" + w: s for w, s in words.items()} | {"p" + p: s for p, s in prefixes.items() if p not in known}
+        return pa.table({"key": pa.array(list(found), pa.string()), "score": pa.array(list(found.values()), pa.float64())})
 
     return run
 
@@ -192,9 +195,13 @@ def lexicon(counts: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     words: dict[str, float] = {}
     prefixes: dict[str, float] = {}
     if total["n1"] and total["n0"]:
-        found = counts.groupBy(F.substring("key", 2, PREFIXES[0]).alias("start")).applyInArrow(_departing(total["n1"], total["n0"]), "key string, score double").toArrow()
-        for key, score_ in zip(found.column("key").to_pylist(), found.column("score").to_pylist()):
-            (words if key[0] == "w" else prefixes)[key[1:]] = score_
+        # Prefixes of up to three characters first, which are few, so that the rest can be dealt by four.
+        short = F.expr(f"substring(key, 1, 1) = 'p' and length(key) <= {SHORT + 1}")
+        for rows, dealt in ((counts.where(short), PREFIXES[0]), (counts.where(~short), SHORT + 1)):
+            start = F.substring("key", 2, dealt).alias("start")
+            found = rows.groupBy(start).applyInArrow(_departing(total["n1"], total["n0"], prefixes), "key string, score double").toArrow()
+            for key, score_ in zip(found.column("key").to_pylist(), found.column("score").to_pylist()):
+                (words if key[0] == "w" else prefixes)[key[1:]] = score_
     discard(counts)
     return words, prefixes
 
