@@ -18,10 +18,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fernglass.llm.shared import pick, stash, texts
+from fernglass.llm.shared import pick, small_batches, stash, texts
+from fernglass.operators.running import with_running
 
 CAPACITY = 2048
 #: Words whose ids a Python worker keeps; the rest are encoded anew each time.
@@ -95,7 +97,7 @@ class _Words(dict):
         return ids
 
 
-def pieces_of(tokenizer_path: str, capacity: int, end_id: int):
+def pieces_of(tokenizer_path: str, capacity: int, end_id: int, carried: list[str]):
     """The mapInArrow function: each document's ids and an end id, cut where they are longer than the capacity."""
     end = np.array([end_id], "<u4").tobytes()
 
@@ -104,16 +106,19 @@ def pieces_of(tokenizer_path: str, capacity: int, end_id: int):
         ranks = [0] * (capacity + 1)
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text"))):
+            rows: list[int] = []
+            for row, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), texts(batch.column("text")))):
                 ids = encoder.encode(text) + end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at : at + 4 * capacity]
                     n = len(own) // 4
                     out.append((doc_id, k, at // 4, n, zlib.crc32(own), part, ranks[n]))
                     ranks[n] += 1
+                    rows.append(row)
             if out:
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"])
+                own = [batch.column(c).take(pa.array(rows)) for c in carried]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(zip(*out), kinds)), *own], names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank", *carried])
 
     return cut
 
@@ -241,7 +246,7 @@ def plan_runs(counts: dict[int, int], capacity: int = CAPACITY) -> list[Run]:
     return plan.runs
 
 
-def _placer(runs: list[Run]):
+def _placer(runs: list[Run], carried: list[str]):
     runs = sorted(runs)
     lengths, ranks, counts, sequences, offsets = (np.array(c, np.int64) for c in zip(*runs)) if runs else (np.zeros(0, np.int64),) * 5
     top = int(ranks.max()) + int(counts.max()) + 1 if runs else 1
@@ -252,11 +257,39 @@ def _placer(runs: list[Run]):
             n = batch.column("length").to_numpy()
             r = batch.column("rank").to_numpy()
             i = np.searchsorted(keys, n * top + r, "right") - 1
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")), pa.array(sequences[i] + r - ranks[i]), pa.array(offsets[i])], names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")), pa.array(sequences[i] + r - ranks[i]), pa.array(offsets[i]), *(batch.column(c) for c in carried)], names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *carried])
 
     return place
 
 
+def stored_order(docs: DataFrame) -> DataFrame:
+    """docs with `stored`: the place of each row in the files that it was read from, by file name and number in the file.
+
+    A table that was written from sorted ranges, as a mix in training order is, keeps its order there without a column
+    for it. A table that was not read from files has no order: stored is null.
+    """
+    try:
+        return docs.select("*", F.struct("_metadata.file_name", "_metadata.row_index").alias("stored"))
+    except AnalysisException:
+        return docs.withColumn("stored", F.lit(None).cast("struct<file_name: string, row_index: bigint>"))
+
+
+def pack_in_order(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
+    """pack() of a stored mix, with train_rank for each piece: the place of its sequence in training, from 1.
+
+    Sequences are trained in the order of their first document in the mix; a sequence's pieces share its rank. Ranks are
+    counted in two levels. Without a stored order sequences keep the order of their numbers.
+    """
+    names = docs.columns
+    at = [names.index(c) for c in ("doc_id", "text")]
+    flat = stored_order(docs).toDF(*[f"_{i}" for i in range(len(names))], "_stored")
+    rows = flat.select(F.col(f"_{at[0]}").alias("doc_id"), F.col(f"_{at[1]}").alias("text"), F.col("_stored.file_name").alias("file"), F.col("_stored.row_index").alias("line"))
+    packed = stash(_packed(rows, tokenizer_path, capacity, end_id, ["file", "line"]), "packed")
+    first = packed.groupBy("sequence_id").agg(F.min(F.struct("file", "line")).alias("first"))
+    ranked = with_running(first, ["first", "sequence_id"], F.lit(1).cast("long"), "train_rank").select("sequence_id", "train_rank")
+    return packed.drop("file", "line").join(ranked, "sequence_id").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "train_rank")
+
+
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
@@ -264,12 +297,18 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
     the last one shorter. Rows that repeat, null ids included, are packed each for itself. Sequences are numbered from
     0 and hold their pieces without gaps from offset 0. Other columns are ignored. Empty table: no rows.
     """
-    rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    pieces = stash(rows.mapInArrow(pieces_of(tokenizer_path, capacity, end_id), PIECES), "pieces")
+    return _packed(pick(docs, "doc_id", "text"), tokenizer_path, capacity, end_id, [])
+
+
+def _packed(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int, carried: list[str]) -> DataFrame:
+    """pack() of doc_id and text, with further columns carried along: file, a text, and line, a number."""
+    extra = "".join(f", {c} {'string' if c == 'file' else 'long'}" for c in carried)
+    rows = small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *carried)
+    pieces = stash(rows.mapInArrow(pieces_of(tokenizer_path, capacity, end_id, carried), PIECES + extra), "pieces")
     tasks = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     over = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     tasks = stash(tasks.withColumn("before", F.coalesce(F.sum("n").over(over), F.lit(0))), "ranks")
     counts = {r["length"]: r["n"] for r in tasks.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     ranked = pieces.join(tasks.select("length", "part", "before"), ["length", "part"]).withColumn("rank", F.col("rank") + F.col("before"))
-    ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
-    return ranked.mapInArrow(_placer(plan_runs(counts, capacity)), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank", *carried)
+    return ranked.mapInArrow(_placer(plan_runs(counts, capacity), carried), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long" + extra)

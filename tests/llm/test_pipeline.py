@@ -62,7 +62,7 @@ def plain(rows, toxic):
     sets = [shingle_set(r[1] or "") for r in rows]
     root = list(range(len(rows)))
     changed = True
-    links = [(a, b) for a in range(len(rows)) for b in range(a) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    links = [(a, b) for a in range(len(rows)) for b in range(a) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     while changed:
         changed = False
         for a, b in links:
@@ -151,3 +151,30 @@ def test_near_copies_from_four_fifths(spark):
     docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.drop_near_copies(spark, docs, "")
     assert sorted(r.doc_id for r in kept.collect()) == [176, 177, 178, 180, 182]
+
+
+def test_sequences_are_trained_in_the_order_of_the_mix(spark, folder, tmp_path):
+    path, _ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    mix = corpus_pipeline.mix_sources(spark, docs, path)
+    mix.write.parquet(f"{tmp_path}/mix")
+    stored = spark.read.parquet(f"{tmp_path}/mix")
+    import pyarrow.parquet as pq
+    from pathlib import Path
+
+    order = [i for f in sorted(Path(f"{tmp_path}/mix").glob("part-*")) for i in pq.read_table(f).column("doc_id").to_pylist()]
+    place = {}
+    for k, i in enumerate(order):
+        place.setdefault(i, k)
+    got = corpus_pipeline.pack(spark, stored, path).collect()
+    rank = {}
+    for r in got:
+        assert rank.setdefault(r.sequence_id, r.train_rank) == r.train_rank
+    assert sorted(rank.values()) == list(range(1, len(rank) + 1))
+    first = {}
+    for r in got:
+        first[r.sequence_id] = min(first.get(r.sequence_id, 10**9), place[r.doc_id])
+    by_rank = [first[s] for s in sorted(rank, key=rank.get)]
+    assert by_rank[0] == 0 and len(got) >= len(order)
+    unordered = corpus_pipeline.pack(spark, spark.createDataFrame([(1, "a b", "en", "s", 3)], docs.schema), path).collect()
+    assert [r.train_rank for r in unordered] == [1]
