@@ -34,8 +34,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents and their places in sequences of 2,048 tokens."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """The pieces of the documents, their places in sequences of 2,048 tokens, and the place of each sequence in training.
+
+    The mix is stored in training order; its rows' places in the files say which sequence comes first.
+    """
+    return packing.pack_in_order(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [
