@@ -292,9 +292,9 @@ def msc_45(spark, d):
     return e.crossJoin(t.documents.where("lang = 'en'").agg(F.sum("n_chars").alias("freed")))
 
 
-@query("msc_46_reprobe", "select count(*) as sampled, count(*) filter (where length(text) = n_chars) as same from documents where doc_id % 11 = 0")
+@query("msc_46_reprobe", "select count(*) as sampled, count(*) filter (where length(text) = n_chars) as same from documents")
 def msc_46(spark, d):
-    return Tables(spark, d).documents.where("doc_id % 11 = 0").agg(F.count("*").alias("sampled"), F.count_if(F.length("text") == F.col("n_chars")).alias("same"))
+    return Tables(spark, d).documents.agg(F.count("*").alias("sampled"), F.count_if(F.length("text") == F.col("n_chars")).alias("same"))
 
 
 @query("msc_47_access", "select c_custkey, case when c_acctbal < 0 then 'refused' when c_acctbal < 1000 then 'asked' when p.pin is null then 'welcome' else 'member' end as step from customer left join (select o_custkey, min(o_orderkey) as pin from orders where o_orderpriority = '1-URGENT' group by 1) p on p.o_custkey = c_custkey")

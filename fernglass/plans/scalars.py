@@ -37,9 +37,9 @@ def set_04(spark, d):
     return buckets.groupBy("p_size").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("own")))).alias("brands"))
 
 
-@query("str_01_name_key", f"select doc_id, {KEY.format('substr(text, 1, 80)')} as key from documents")
+@query("str_01_name_key", f"select doc_id, {KEY.format('text')} as key from documents")
 def str_01(spark, d):
-    return Tables(spark, d).documents.select("doc_id", text.name_key(F.substring("text", 1, 80)).alias("key"))
+    return Tables(spark, d).documents.select("doc_id", text.name_key(F.col("text")).alias("key"))
 
 
 @query("str_02_name_key_composed")
@@ -58,9 +58,18 @@ def str_04(spark, d):
     return Tables(spark, d).part.select("p_partkey", text.place_key(F.col("p_brand")).alias("key"))
 
 
-@query("str_05_osa")
+OSA = """with recursive n as (select distinct p_name as s from part), t as (select 'rde wigdet' as t, 10 as m),
+c as (select s, 0 as k, [0] as d from n
+  union all
+  select s, q, list_append(d, case when i = 0 then j when j = 0 then i else least(d[q] + 1, d[q - m] + 1, d[q - m - 1] + (s[i] <> t[j])::int,
+    case when i > 1 and j > 1 and s[i] = t[j - 1] and s[i - 1] = t[j] then d[q - 2 * m - 3] + 1 else 999 end) end)
+  from (select *, k + 1 as q, (k + 1) // (m + 1) as i, (k + 1) % (m + 1) as j from c, t where k < (length(s) + 1) * (m + 1) - 1))
+select s as p_name, d[len(d)]::int as distance from c, t where k = (length(s) + 1) * (m + 1) - 1"""
+
+
+@query("str_05_osa", OSA)
 def str_05(spark, d):
-    """Restricted edit distances between part names and one typed name; DuckDB's variant is the unrestricted one."""
+    """Restricted edit distances between part names and one typed name; the SQL fills the table cell by cell."""
     names = Tables(spark, d).part.select("p_name").distinct()
     return names.select("p_name", text.osa_distance(F.col("p_name"), F.lit("rde wigdet")).alias("distance"))
 
@@ -325,7 +334,8 @@ def hsh_03(spark, d):
     return Tables(spark, d).customer.select("c_custkey", hashes.keyed("pepper", F.col("c_name"), F.col("c_mktsegment")).alias("h"))
 
 
-@query("hsh_04_uuid5")
+@query("hsh_04_uuid5", """with h as (select c_custkey, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(c_name || '|' || c_mktsegment)) as h from customer)
+select c_custkey, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab89ab89ab89ab', instr('0123456789abcdef', substr(h, 17, 1)), 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) as id from h""")
 def hsh_04(spark, d):
     """Name-based ids, which neither engine has a function for."""
     return Tables(spark, d).customer.select("c_custkey", hashes.uuid5(F.concat_ws("|", "c_name", "c_mktsegment")).alias("id"))
