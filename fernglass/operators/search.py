@@ -7,6 +7,7 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -148,40 +149,75 @@ def postings(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return out.groupBy("term", key, "column").agg(F.count("*").alias("tf"))
 
 
+#: Bytes of query vectors that one scan of the searched table answers, and queries that a task compares at a time.
+QUERY_BYTES, QUERY_TILE = 64 << 20, 512
+
+
 def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str, query_vector: str, k: int, least: float = -2.0) -> DataFrame:
     """query, key, sim, rank: the k most similar rows of each query by cosine, least key first on ties.
 
-    queries is a stated set; it is taken in blocks of 1,024, and each block is sent to all of df, of which each task
-    keeps k rows for each query of a block. Null and zero vectors are never found.
+    queries is a stated set. It is taken in blocks of QUERY_BYTES, each of which is broadcast and answered by one scan of
+    df, in which a task keeps k rows for each query. Null and zero vectors are never found, nor those of another length.
     """
-    rows = [(r[query_key], r[query_vector]) for r in queries.select(query_key, query_vector).toLocalIterator() if r[query_vector] is not None]
-    kept = [(q, v / n) for q, x in rows if (v := np.array(x, np.float64)).size and (n := np.linalg.norm(v)) > 0]
-    source = df.select(F.col(key).alias("key"), F.col(vector).alias("vector")).where(F.col("vector").isNotNull())
-    out = None
-    for at in range(0, max(1, len(kept)), 1024):
-        block = kept[at : at + 1024]
-        part = source.mapInPandas(_best_of(block, k, least), "query long, key long, sim double")
-        out = part if out is None else out.unionByName(part)
+    context = df.sparkSession.sparkContext
+    source = df.select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("vector")).where(F.col("vector").isNotNull())
+    asked = queries.select(F.col(query_key).cast("long").alias("q"), F.col(query_vector).cast("array<double>").alias("v")).where(F.col("v").isNotNull())
+    out, names, block, size = None, [], [], 0
+
+    def scan() -> DataFrame:
+        shared = context.broadcast((np.array(names, np.int64), np.array(block, np.float64)))
+        return source.mapInArrow(_best_of(shared, k, least), "query long, key long, sim double")
+
+    for r in asked.toLocalIterator():  # a block of them at a time
+        v = np.array([np.nan if x is None else x for x in r["v"]], np.float64)
+        n = np.linalg.norm(v) if v.size else 0.0
+        if not n > 0 or block and len(v) != len(block[0]):
+            continue
+        names.append(r["q"])
+        block.append(v / n)
+        size += v.nbytes
+        if size >= QUERY_BYTES:
+            out = scan() if out is None else out.unionByName(scan())
+            names, block, size = [], [], 0
+    if block or out is None:
+        out = scan() if out is None else out.unionByName(scan())
     w = Window.partitionBy("query").orderBy(F.desc("sim"), "key")
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _best_of(block: list[tuple], k: int, least: float):
-    matrix = np.array([v for _, v in block]) if block else np.zeros((0, 1))
-
+def _best_of(shared, k: int, least: float):
     def run(batches):
-        best: list[list[tuple[float, int]]] = [[] for _ in block]
-        for pdf in batches:
-            vectors = [np.array(x, np.float64) for x in pdf["vector"]]
-            keep = [i for i, v in enumerate(vectors) if block and v.shape == matrix.shape[1:] and np.linalg.norm(v) > 0]
+        names, matrix = shared.value
+        if not len(names):
+            return
+        held = np.zeros((0, 3))  # rows of (query's place, sim, batch row's key), k a query at most
+        keys_held = np.zeros(0, np.int64)
+        floor = np.full(len(names), -np.inf)
+        for batch in batches:
+            rows = [np.array(x, np.float64) if x is not None and None not in x else np.zeros(0) for x in batch.column("vector").to_pylist()]
+            keep = [i for i, x in enumerate(rows) if len(x) == matrix.shape[1] and np.linalg.norm(x) > 0]
             if not keep:
                 continue
-            x = np.stack([vectors[i] / np.linalg.norm(vectors[i]) for i in keep])
-            keys = pdf["key"].to_numpy()[keep]
-            for q, sims in enumerate(matrix @ x.T):
-                top = np.lexsort((keys, -sims))[:k]
-                best[q] = sorted(best[q] + [(-float(sims[i]), int(keys[i])) for i in top if sims[i] >= least])[:k]
-        yield pd.DataFrame([(block[q][0], key, -s) for q, found in enumerate(best) for s, key in found], columns=["query", "key", "sim"])
+            x = np.stack([rows[i] / np.linalg.norm(rows[i]) for i in keep])
+            keys = batch.column("key").to_numpy()[keep]
+            found, found_keys = [held], [keys_held]
+            for lo in range(0, len(names), QUERY_TILE):
+                sims = matrix[lo : lo + QUERY_TILE] @ x.T
+                bound = np.maximum(floor[lo : lo + QUERY_TILE], least)
+                if sims.shape[1] > k:
+                    bound = np.maximum(bound, np.partition(sims, sims.shape[1] - k, axis=1)[:, sims.shape[1] - k])
+                q, j = np.nonzero(sims >= bound[:, None])  # all that tie with the k-th too
+                found.append(np.column_stack([q + lo, sims[q, j], j]))
+                found_keys.append(keys[j])
+            held, keys_held = np.concatenate(found), np.concatenate(found_keys)
+            order = np.lexsort((keys_held, -held[:, 1], held[:, 0]))
+            held, keys_held = held[order], keys_held[order]
+            first = np.searchsorted(held[:, 0], held[:, 0], "left")
+            rank = np.arange(len(held)) - first
+            last = rank == k - 1
+            floor[held[last, 0].astype(np.int64)] = held[last, 1]
+            held, keys_held = held[rank < k], keys_held[rank < k]
+        yield pa.RecordBatch.from_arrays([pa.array(names[held[:, 0].astype(np.int64)]), pa.array(keys_held), pa.array(held[:, 1])], names=["query", "key", "sim"])
 
     return run
 

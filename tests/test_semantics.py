@@ -347,3 +347,23 @@ def test_tiers_of_hot_and_null_sizes(spark):
     got = {r.k: r.tier for r in E.duplicate_tiers(df, "k", "n", hashes.signature(F.col("t"), 1), F.md5(F.col("t").cast("binary"))).collect()}
     assert len(got) == len(rows) and {got[i] for i in range(50)} == {"duplicate"}
     assert (got[100], got[101], got[102], got[103]) == ("duplicate", "unique ends", "duplicate", "unique size") and got[104] == got[105] == "unique content"
+
+
+def test_nearest_against_plain(spark, monkeypatch):
+    import random
+
+    r = random.Random(2)
+    rows = [(i, [float(r.randint(-2, 2)) for _ in range(4)]) for i in range(300)] + [(400, None), (401, [0.0] * 4), (402, [1.0]), (403, [None, 1.0, 1.0, 1.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>").repartition(4)
+    queries = df.where("id % 9 = 0 or id > 399")
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows if v and None not in v and len(v) == 4 and any(v)}
+    for size in (64 << 20, 100):
+        monkeypatch.setattr(S, "QUERY_BYTES", size)
+        monkeypatch.setattr(S, "QUERY_TILE", 7)
+        got = {}
+        for x in S.nearest(df, "id", "v", queries, "id", "v", 5).collect():
+            got.setdefault(x["query"], {})[x["rank"]] = x
+        assert set(got) == {i for i in unit if i % 9 == 0}
+        for q, best in got.items():
+            want = sorted((-round(float(unit[q] @ u), 9), i) for i, u in unit.items())[:5]
+            assert [-round(best[k].sim, 9) for k in range(1, 6)] == [s for s, _ in want]
