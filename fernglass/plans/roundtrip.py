@@ -215,12 +215,9 @@ def src_28(spark, d):
 
 @query("src_07_jdbc", "select n_nationkey, n_name from nation")
 def src_07(spark, d):
-    """A database table written and read over JDBC, by ranges of its key. The database is one inside the driver's JVM."""
-    import uuid
-
-    url, driver = f"jdbc:derby:memory:d{uuid.uuid4().hex};create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
-    Tables(spark, d).nation.select("n_nationkey", "n_name").write.format("jdbc").options(url=url, dbtable="NATION", driver=driver).save()
-    read = files.jdbc(spark, url, "NATION", "n_nationkey", 0, 25, 4, driver=driver)
+    """A database table written over JDBC and read by ranges of its key, in as many JVMs as read it: the database is a file in the shared folder."""
+    url = sinks.database(Tables(spark, d).nation.select("n_nationkey", "n_name"), "NATION", place(spark, "database"))
+    read = files.jdbc(spark, url, "NATION", "n_nationkey", 0, 25, 4, driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
     return read.toDF("n_nationkey", "n_name")
 
 

@@ -367,3 +367,25 @@ def test_nearest_against_plain(spark, monkeypatch):
         for q, best in got.items():
             want = sorted((-round(float(unit[q] @ u), 9), i) for i, u in unit.items())[:5]
             assert [-round(best[k].sim, 9) for k in range(1, 6)] == [s for s, _ in want]
+
+
+def test_database_of_several_processes(spark, tmp_path):
+    """What executors read over JDBC isn't in the driver's memory: a second JVM reads it while the first has it open."""
+    import subprocess
+    import sys
+
+    rows = [(k, None if k % 7 == 0 else "" if k % 5 == 0 else f"ü {k}", k / 4) for k in range(2_500)] + [(None, "no key", None)]
+    frame = spark.createDataFrame(rows, "k long, name string, share double")
+    url = sinks.database(frame.repartition(3), "T", f"file://{tmp_path}/database")
+    read = files.jdbc(spark, url, "T", "k", 100, 200, 4, driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    order = lambda found: sorted(map(tuple, found), key=repr)
+    assert read.rdd.getNumPartitions() == 4 and order(read.collect()) == order(rows)
+    other = (
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        f"print('ROWS', spark.read.format('jdbc').options(url={url!r}, dbtable='T', driver='org.apache.derby.iapi.jdbc.AutoloadedDriver').load().count())"
+    )
+    said = subprocess.run([sys.executable, "-c", other], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert f"ROWS {len(rows)}" in said.stdout, said.stderr[-2000:]
+    with pytest.raises(ValueError):
+        sinks.database(spark.createDataFrame([([1],)], "k array<int>"), "T", str(tmp_path / "lists"))
