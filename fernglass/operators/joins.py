@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fernglass.operators.storage import written
@@ -119,6 +119,17 @@ def close_pairs(names: DataFrame, name: str, slack: dict[int, int]) -> DataFrame
     return met.where(F.levenshtein("a", "b") <= room(F.length("a")))
 
 
+def best_of_each_other(pairs: DataFrame, group: str, a: str, b: str, score: str) -> DataFrame:
+    """group, a, b: the pairs of a group that are the best of each other by score, ties going to the lesser b and a.
+
+    Rows that repeat a pair count once, by their highest score: no rank then depends on how rows happen to lie, so that
+    both ways choose the same row. Null scores come last.
+    """
+    once = pairs.groupBy(group, a, b).agg(F.max(score).alias("_s"))
+    rank = lambda own, other: F.row_number().over(Window.partitionBy(group, own).orderBy(F.desc("_s"), other))
+    return once.withColumn("_k1", rank(a, b)).withColumn("_k2", rank(b, a)).where("_k1 = 1 and _k2 = 1").select(group, a, b)
+
+
 def explain_absence(wanted: DataFrame, key: str, sources: list[tuple[str, DataFrame]], otherwise: str = "unexplained") -> DataFrame:
     """wanted with `reason`: the first source that has the key."""
     names = []

@@ -231,8 +231,7 @@ def joi_29(spark, d):
     c = b.where("box > 3").toDF("photo", "new", "x2", "y2", "w2", "h2")
     iou = values.overlap([F.col(k) for k in "xywh"], [F.col(f"{k}2") for k in "xywh"])
     pairs = b.where("box <= 3").withColumnRenamed("box", "old").join(c, "photo").withColumn("iou", iou).where("iou >= 0.3")
-    pairs = pairs.withColumn("k1", F.row_number().over(Window.partitionBy("photo", "old").orderBy(F.desc("iou"), "new"))).withColumn("k2", F.row_number().over(Window.partitionBy("photo", "new").orderBy(F.desc("iou"), "old")))
-    return pairs.where("k1 = 1 and k2 = 1").select("photo", "old", "new")  # best of each other
+    return joins.best_of_each_other(pairs, "photo", "old", "new", "iou")
 
 
 @query("joi_30_absence", """

@@ -369,6 +369,15 @@ def test_nearest_against_plain(spark, monkeypatch):
             assert [-round(best[k].sim, 9) for k in range(1, 6)] == [s for s, _ in want]
 
 
+def test_boxes_that_are_the_best_of_each_other(spark):
+    """Boxes that share a number give the same pair twice, at times with the same overlap; it is found once all the same."""
+    rows = [(1, 1, 4, 0.5), (1, 1, 4, 0.5), (1, 1, 5, 0.5), (1, 2, 4, 0.5), (1, 2, 5, 0.4), (2, 3, 6, 0.3), (2, 3, 6, 0.9), (2, 2, 6, 0.8)]
+    for n in range(len(rows)):
+        pairs = spark.createDataFrame(rows[n:] + rows[:n], "photo long, old int, new int, iou double").repartition(3)
+        got = joins.best_of_each_other(pairs, "photo", "old", "new", "iou")
+        assert sorted(map(tuple, got.collect())) == [(1, 1, 4), (2, 3, 6)]
+
+
 def test_database_of_several_processes(spark, tmp_path):
     """What executors read over JDBC isn't in the driver's memory: a second JVM reads it while the first has it open."""
     import subprocess
