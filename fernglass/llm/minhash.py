@@ -108,12 +108,13 @@ SIGNED = "row long, doc_id long, text_key long, n_shingles long, set_key binary,
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The full set of each class, from a text that has its key; set_key again, in case two texts share a key."""
+    """Classes with their full sets, each from a text that has its set_key; other texts, which share a text_key, fall out."""
     hashes = _Hashes()
     for batch in batches:
         found = [shingles(text, hashes).tobytes() for text in texts(batch.column("text"))]
-        keys = [xxhash.xxh3_128_digest(x) for x in found]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(keys, pa.binary()), pa.array(found, pa.binary())], names=["node", "found_key", "items"])
+        same = pa.array([xxhash.xxh3_128_digest(x) == key for x, key in zip(found, batch.column("set_key").to_pylist())], pa.bool_())
+        kept = [batch.column(c) for c in ("node", "signature", "n_shingles")]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.binary())], names=["node", "signature", "n_shingles", "items"]).filter(same)
 
 
 def _least(percent: int) -> int:
@@ -260,13 +261,13 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     # Only classes that share a bucket need their sets: their texts are read once more.
     wanted = nodes.join(buckets.select("node").distinct(), "node")
-    sets = rows.select("text_key", "text").join(wanted.select("text_key", "node"), "text_key").mapInArrow(_sets, "node long, found_key binary, items binary")
-    members = wanted.join(sets, "node").where("set_key = found_key").select("node", "signature", "n_shingles", "items")
+    found = rows.select("text_key", "text").join(wanted.select("text_key", "node", "set_key", "signature", "n_shingles"), "text_key")
+    members = found.mapInArrow(_sets, "node long, signature binary, n_shingles long, items binary")
     members = stash(members.dropDuplicates(["node"]), "members")
 
-    star = buckets.where("node != centre").groupBy("node", "centre").agg(F.count("*").alias("times"))
-    star = star.groupBy("node").agg(F.max_by("centre", F.struct("times", "centre")).alias("centre"))
-    star = star.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    # A class is in BANDS buckets at most, dealt by class once; a pair is found once, as centres go by the order of hashes.
+    star = buckets.where("node != centre").repartition("node").groupBy("node", "centre").agg(F.count("*").alias("times"))
+    star = star.groupBy("node").agg(F.max_by("centre", F.struct("times", "centre")).alias("b")).withColumnRenamed("node", "a")
     links = _confirmed(_likely(star, members, percent), members, percent)
     joined = components(links)
     best, rounds = True, 0
@@ -274,7 +275,8 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         pairs = _apart(buckets, members, joined).mapInArrow(_met(percent, best), "a long, b long, agree long")
         if best:
             pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
-        found = _confirmed(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), members, percent)
+            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        found = _confirmed(pairs.select("a", "b"), members, percent)  # a list holds each pair once, in its first band
         new = not found.isEmpty()  # a table by now: pairs are confirmed once
         if new:
             joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found))

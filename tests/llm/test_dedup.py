@@ -226,3 +226,16 @@ def test_every_pair_is_dealt_once():
         for i in range(300):
             near = np.flatnonzero(embed_dedup.squares(rotated[i : i + 1, part].repeat(300, 0), rotated[:, part]) <= space.shares[block])
             assert all((block, i, j) in met for j in near.tolist() if j > i)
+
+
+@pytest.mark.parametrize("alone", [0, 200, 10_000])
+def test_components_in_one_task_and_by_steps(spark, monkeypatch, alone):
+    """A small graph is joined at once, without a table for each step; a larger one by stars, with the same result."""
+    made = []
+    monkeypatch.setattr(graph, "EDGES_OF_A_TASK", alone)
+    monkeypatch.setattr(graph, "stash", lambda df, name, f=graph.stash: made.append(name) or f(df, name))
+    links = [(i, i + 1) for i in range(0, 99)] + [(i + 7, i) for i in range(200, 300, 7)] * 3 + [(500, 400), (400, 500), (450, 450)]
+    got = {x.node: x.component for x in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = {i: 0 for i in range(100)} | {i: 200 for i in range(200, 306, 7)} | {400: 400, 500: 400}
+    assert got == want
+    assert made == ["edges", "components"] if alone >= len(links) else made.count("edges") > 3
