@@ -6,8 +6,9 @@ words: P(w | class) = (c(w) + 1) / (N_class + V_class + 1). All counts cover all
 
 Words with counts at or above a cut, TABLE of them at most, are broadcast with their counts; what a text holds
 besides, its rare words, meets the whole table of counts in one join, so that no step holds a vocabulary that grows
-with the corpus. Baum-Welch starts from clusters of a sample of whole texts, bounded in texts and tokens, and then
-passes over all training texts, whose expected counts are added up across partitions, until a pass finds that the one
+with the corpus. Baum-Welch starts from clusters of all training texts: each is dealt by its words to one of CELLS cells,
+by the sides of PLANES planes through the corpus's own mean on which it lies, and the symbols of all texts of a cell are
+counted; cells of one language or subject make a state. It then passes over all training texts, whose expected counts are added up across partitions, until a pass finds that the one
 before gained less than GAIN a token, PASSES times at most. Texts are trained on and scored whole: very long ones keep the
 forward variables of every BLOCK-th token only, and those between are made again on the way back.
 """
@@ -35,8 +36,9 @@ FREQUENT, CLASSES, TAIL = 16_384, 2_048, 3
 TABLE = 300_000
 #: Passes of Baum-Welch over all training texts at most, and the gain in nats a token below which they end.
 PASSES, GAIN = 2, 0.002
-#: Texts, about, that are clustered in WARM_STEPS steps to start from, and their tokens.
-SAMPLE_DOCS, SAMPLE_TOKENS, WARM_STEPS = 2_000, 4_000_000, 12
+#: Planes that deal all training texts to cells, whose counts are clustered in WARM_STEPS steps to start from.
+PLANES, WARM_STEPS = 6, 12
+CELLS = 2**PLANES
 #: A state's emissions are smoothed by so many tokens of the whole corpus, its transitions by so many to each state.
 SMOOTH, SMOOTH_MOVES = 200.0, 1.0
 #: Tokens that a worker gathers before it runs the recursions, and tokens from which texts are gathered with other long
@@ -257,33 +259,37 @@ def estimate(starts: np.ndarray, moves: np.ndarray, emits: np.ndarray, share: np
 
 
 def cluster(sequences: list[np.ndarray], share: np.ndarray, states: int) -> Hmm:
-    """A first model: a mixture of word distributions over whole texts, one for each state, which rarely changes."""
-    rng = np.random.default_rng(7)
+    """cluster_counts() of single texts."""
+    return cluster_counts(np.stack([np.bincount(s, minlength=len(share)) for s in sequences]) if sequences else np.zeros((0, len(share))), share, states)
+
+
+def cluster_counts(counts: np.ndarray, share: np.ndarray, states: int) -> Hmm:
+    """A first model: a mixture of word distributions over whole texts, or sums of texts, one for each state, which rarely changes.
+
+    counts: of the symbols of each text, [texts, symbols]; empty ones say nothing.
+    """
     k = states
+    counts = counts[counts.sum(axis=1) > 0].astype(np.float64)
     emits = np.zeros((len(share), k))
-    if sequences:
-        ids = np.repeat(np.arange(len(sequences)), [len(s) for s in sequences])
-        flat = np.concatenate(sequences)
+    if len(counts):
         # Seeds far apart: each next one is the text that the clusters so far explain worst, for each of its tokens.
-        lengths = np.bincount(ids)
+        lengths = counts.sum(axis=1)
+        long = lengths >= min(40, lengths.max())
         seeds = [int(np.argmax(np.minimum(lengths, 400)))]
-        worst = np.full(len(sequences), -np.inf)
+        worst = np.full(len(counts), -np.inf)
         for _ in range(k - 1):
-            counts = np.bincount(sequences[seeds[-1]], minlength=len(share)) + 50 * share
-            gain = np.log(counts / counts.sum()) - np.log(share)
-            worst = np.maximum(worst, np.bincount(ids, weights=gain[flat]) / lengths)
-            seeds.append(int(np.argmin(np.where(lengths >= 40, worst, np.inf))) if (lengths >= 40).any() else int(rng.integers(len(sequences))))
-        for z, s in enumerate(seeds):
-            emits[:, z] = np.bincount(sequences[s], minlength=len(share))
+            seed = counts[seeds[-1]] / lengths[seeds[-1]] * min(lengths[seeds[-1]], 20_000) + 50 * share
+            worst = np.maximum(worst, counts @ (np.log(seed / seed.sum()) - np.log(share)) / lengths)
+            seeds.append(int(np.argmin(np.where(long, worst, np.inf))))
+        emits = counts[seeds].T.copy()
         prior = np.full(k, 1 / k)
         for _ in range(WARM_STEPS):
             emit = emits + 50 * share[:, None]
-            logs = np.log(emit / emit.sum(axis=0))
-            score = np.stack([np.bincount(ids, weights=logs[flat, z], minlength=len(sequences)) for z in range(k)], axis=1) + np.log(prior)
+            score = counts @ np.log(emit / emit.sum(axis=0)) + np.log(prior)
             score -= score.max(axis=1, keepdims=True)
             post = np.exp(score)
             post /= post.sum(axis=1, keepdims=True)
-            emits = np.stack([np.bincount(flat, weights=post[ids, z], minlength=len(share)) for z in range(k)], axis=1)
+            emits = counts.T @ post
             prior = (post.sum(axis=0) + 1) / (len(post) + k)
     total = emits.sum(axis=0)
     moves = np.full((k, k), 0.02 / k) + 0.98 * np.eye(k)
@@ -345,8 +351,11 @@ def _expectations(shared):
                 a += b
 
         for batch in batches:
-            for text in texts(batch.column("text")):
-                own = symbols_in(v, text)
+            if "symbols" in batch.schema.names:
+                sequences = (np.frombuffer(x.as_buffer(), _kind(v)).astype(np.int32) for x in batch.column("symbols"))
+            else:
+                sequences = (symbols_in(v, text) for text in texts(batch.column("text")))
+            for own in sequences:
                 if (lot := pools.add(own, len(own))) is not None:
                     count(lot)
         for lot in pools.rest():
@@ -362,13 +371,13 @@ def _expectations(shared):
 
 
 def baum_welch(rows: DataFrame, v: Vocabulary, h: Hmm) -> tuple[Hmm, float]:
-    """One pass over all texts of rows: expected counts of all tasks, added up by key, make the next model.
+    """One pass over all texts of rows, or over the symbols that stand for them: expected counts of all tasks, added up by key, make the next model.
 
     Also the log likelihood (natural) of a token under h.
     """
     k = len(h.start)
     shared = rows.sparkSession.sparkContext.broadcast((v, h))
-    sums = rows.select("text").mapInArrow(_expectations(shared), "key long, value double").groupBy("key").agg(F.sum("value").alias("value"))
+    sums = rows.select("symbols" if "symbols" in rows.columns else "text").mapInArrow(_expectations(shared), "key long, value double").groupBy("key").agg(F.sum("value").alias("value"))
     values, told = np.zeros(k + k * k + v.size * k), {-1: 0.0, -2: 0.0}
     for r in sums.toLocalIterator():  # at most states x (states + symbols + 1) rows, whatever the corpus
         if r["key"] < 0:
@@ -378,15 +387,54 @@ def baum_welch(rows: DataFrame, v: Vocabulary, h: Hmm) -> tuple[Hmm, float]:
     return estimate(values[:k], values[k : k + k * k].reshape(k, k), values[k + k * k :].reshape(v.size, k), background(v)), told[-1] / max(told[-2], 1.0)
 
 
-def _symbols(shared):
+def _kind(v: Vocabulary) -> type:
+    """The type in which symbols are stored: two bytes each where they fit, so that they take no more than the text."""
+    return np.uint16 if v.size <= 1 << 16 else np.int32
+
+
+def _dealt(shared):
+    """Each text's cell and its symbols."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = shared.value
+        normals = np.random.default_rng(11).normal(size=(v.size, PLANES))
+        normals -= background(v) @ normals
+        for batch in batches:
+            cells, found = [], []
+            for text in texts(batch.column("text")):
+                own = symbols_in(v, text)
+                sums = normals[own].sum(axis=0) if len(own) < v.size else np.bincount(own, minlength=v.size) @ normals
+                cells.append(int((sums > 0) @ (1 << np.arange(PLANES))))
+                found.append(own.astype(_kind(v)).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(found, pa.binary())], names=["cell", "symbols"])
+
+    return run
+
+
+def _cell_counts(size: int, kind: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((CELLS, size), np.int64)
         for batch in batches:
-            found = [symbols_in(shared.value, text).tobytes() for text in texts(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["symbols"])
+            for cell, found in zip(batch.column("cell").to_pylist(), batch.column("symbols")):
+                np.add.at(total[cell], np.frombuffer(found.as_buffer(), kind), 1)
+        flat = total.ravel()
+        keys = np.flatnonzero(flat)
+        for i in range(0, len(keys), 50_000):
+            part = keys[i : i + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(flat[part])], names=["key", "n"])
 
     return run
 
 
+def cell_counts(dealt: DataFrame, v: Vocabulary) -> np.ndarray:
+    """How often each cell's texts, all of them, hold each symbol: [cells, symbols]."""
+    sums = dealt.mapInArrow(_cell_counts(v.size, _kind(v)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    out = np.zeros(CELLS * v.size)
+    for r in sums.toLocalIterator():  # at most cells x symbols rows, whatever the corpus
+        out[r["key"]] = r["n"]
+    return out.reshape(CELLS, v.size)
+
+
 @dataclass
 class Model:
     vocabulary: Vocabulary
@@ -396,19 +444,16 @@ class Model:
     likelihoods: list[float]
 
 
-def train(rows: DataFrame, states: int = STATES, passes: int = PASSES, sample_docs: int = SAMPLE_DOCS) -> Model:
+def train(rows: DataFrame, states: int = STATES, passes: int = PASSES) -> Model:
     """rows: doc_id, text of the training texts. Without any, all words are unknown and states are alike."""
     counts = stash(word_counts(rows), "counts")
     v = vocabulary(counts, TABLE, FREQUENT)
     spark = rows.sparkSession
-    n = counts.where(F.length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    drawn = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1_000_003)) / 1_000_003
-    sample = rows.where(drawn < min(sample_docs / max(n, 1), SAMPLE_TOKENS / max(v.n, 1))).select("text")
-    sequences = [np.frombuffer(r["symbols"], np.int32).astype(np.int64) for r in sample.mapInArrow(_symbols(spark.sparkContext.broadcast(v)), "symbols binary").collect()]
-    h = cluster(sequences, background(v), states)
+    dealt = stash(rows.select("text").mapInArrow(_dealt(spark.sparkContext.broadcast(v)), "cell int, symbols binary"), "symbols")
+    h = cluster_counts(cell_counts(dealt, v), background(v), states)
     likelihoods: list[float] = []
     while len(likelihoods) < passes and not (len(likelihoods) > 1 and likelihoods[-1] - likelihoods[-2] < GAIN):
-        h, ll = baum_welch(rows, v, h)
+        h, ll = baum_welch(dealt, v, h)
         likelihoods.append(ll)
     return Model(v, h, counts, likelihoods)
 

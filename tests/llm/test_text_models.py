@@ -445,3 +445,15 @@ def test_words_in_slices(monkeypatch):
     monkeypatch.setattr(shared, "WORDS_OF", 11)
     for text in (b"", b"  a b\tccccccccccccccccccccc d\n\n", b"x" * 50, b"one two three four five six seven"):
         assert [w for part in shared.words_of(text) for w in part] == text.split()
+
+
+def test_first_states_count_every_training_text(spark, frame, monkeypatch):
+    """Training starts from the symbols of all training texts, none left out, however many there are."""
+    seen = []
+    monkeypatch.setattr(hmm_lm, "cluster_counts", lambda counts, *a, f=hmm_lm.cluster_counts: seen.append(counts) or f(counts, *a))
+    rows = [(i, f"w{i % 50} w{i % 7} only{i}" if i % 9 else None, None, None) for i in range(5_000)]
+    model = hmm_lm.train(hmm_lm.pick(frame(rows, parts=3), "doc_id", "text"), states=3, passes=1)
+    v = model.vocabulary
+    want = np.bincount(np.concatenate([hmm_lm.symbols_in(v, (text or "").encode()) for _, text, _, _ in rows]), minlength=v.size)
+    assert seen[0].shape == (hmm_lm.CELLS, v.size) and want.sum() == v.n
+    assert (seen[0].sum(axis=0) == want).all()
